@@ -99,3 +99,15 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking_from_events(read_table(spark, sf_dir, "events"))
+
+
+def with_zone(df: DataFrame) -> DataFrame:
+    """TIMESTAMP_NTZ columns as TIMESTAMP: messages and watermarks need a zone."""
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
+    return df.withColumns({name: F.col(name).cast("timestamp") for name in plain})
+
+
+def as_messages(df: DataFrame) -> DataFrame:
+    """Rows as JSON messages with ISO-8601 times to the microsecond."""
+    options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    return with_zone(df).select(F.to_json(F.struct("*"), options).alias("value"))

@@ -40,12 +40,6 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[edge(f) for f in df.schema.fields])
 
 
-def as_messages(df: DataFrame) -> DataFrame:
-    """Rows as JSON messages; times carry an explicit zone."""
-    stamped = [F.col(f.name).cast("timestamp").alias(f.name) if f.dataType.typeName() == "timestamp_ntz" else F.col(f.name) for f in df.schema.fields]
-    return df.select(F.to_json(F.struct(*stamped)).alias("value"))
-
-
 class Inputs:
     """The derived tables of one data folder, each built on demand."""
 
@@ -147,11 +141,11 @@ def join_game_context(i: Inputs) -> DataFrame:
 
 
 def parse_plays(i: Inputs) -> DataFrame:
-    return quality.parse_plays(as_messages(i.plays)).select(*PLAY_SCHEMA.fieldNames())
+    return quality.parse_plays(derived.as_messages(i.plays)).select(*PLAY_SCHEMA.fieldNames())
 
 
 def parse_tracking(i: Inputs) -> DataFrame:
-    return quality.parse_tracking(as_messages(i.tracking)).select(*TRACKING_SCHEMA.fieldNames())
+    return quality.parse_tracking(derived.as_messages(i.tracking)).select(*TRACKING_SCHEMA.fieldNames())
 
 
 def parse_json_props(i: Inputs) -> DataFrame:
@@ -177,13 +171,13 @@ def valid_tracking(i: Inputs) -> DataFrame:
 
 
 def dlq_plays(i: Inputs) -> DataFrame:
-    checked = quality.check_plays(quality.flag_plays(quality.stamp(quality.parse_plays(as_messages(i.plays)))))
+    checked = quality.check_plays(quality.flag_plays(quality.stamp(quality.parse_plays(derived.as_messages(i.plays)))))
     letters = quality.dead_letters(checked)
     return letters.select(*PLAY_KEY, "error_message", F.get_json_object("raw_data", "$.quarter").alias("raw_quarter"))
 
 
 def dlq_tracking(i: Inputs) -> DataFrame:
-    checked = quality.check_tracking(quality.stamp(quality.parse_tracking(as_messages(i.tracking))))
+    checked = quality.check_tracking(quality.stamp(quality.parse_tracking(derived.as_messages(i.tracking))))
     letters = quality.dead_letters(checked)
     return letters.select(*PLAY_KEY, "error_message", F.get_json_object("raw_data", "$.player_id").alias("raw_player"))
 
