@@ -93,12 +93,22 @@ def tracking_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, table: DataFrame | None = None) -> DataFrame:
+    """Use all cores on a table of fewer files than cores; larger tables are left as they are.
+
+    ``table`` is the batch form of ``df`` where that is a stream.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = (df if table is None else table).rdd.getNumPartitions()
+    return df if splits >= cores else df.repartition(cores, "event_id")
+
+
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plays_from_events(read_table(spark, sf_dir, "events"))
 
 
 def tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tracking_from_events(read_table(spark, sf_dir, "events"))
+    return tracking_from_events(spread(read_table(spark, sf_dir, "events")))
 
 
 def with_zone(df: DataFrame) -> DataFrame:
