@@ -16,6 +16,7 @@ The order columns must be unique within a group.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
@@ -69,13 +70,18 @@ def slice_cuts(
     return df.sparkSession.createDataFrame(intervals, schema).select("key.*", SLICE, "lo", "hi")
 
 
-def _inside(left: DataFrame, right: DataFrame, same: list[str]) -> Column:
-    condition = (right["lo"].isNull() | (right["lo"] <= left[_POS])) & (
-        right["hi"].isNull() | (left[_POS] < right["hi"])
-    )
-    for name in same:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Key columns under other names, for the right side of a join."""
+    return df.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+
+
+def _same(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+
+
+def _inside() -> Column:
+    lo, hi, pos = F.col("lo"), F.col("hi"), F.col(_POS)
+    return (lo.isNull() | (lo <= pos)) & (hi.isNull() | (pos < hi))
 
 
 def with_slice(df: DataFrame, cuts: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -89,13 +95,13 @@ def with_slice(df: DataFrame, cuts: DataFrame, keys: list[str], order: list[str]
         F.min_by("lo", SLICE).alias("lo"), F.max_by("hi", SLICE).alias("hi")
     )
     rows = df.withColumn(_POS, F.struct(*order))
-    rows = rows.join(F.broadcast(coarse), _inside(rows, coarse, keys), "left").select(
-        *[rows[c] for c in rows.columns], coarse[_BLOCK]
+    rows = rows.join(F.broadcast(_renamed(coarse, keys)), _same(keys) & _inside(), "left").select(
+        *df.columns, _POS, _BLOCK
     )
-    rows = rows.join(F.broadcast(fine), _inside(rows, fine, [*keys, _BLOCK]), "left").select(
-        *[rows[c] for c in rows.columns], fine[SLICE]
+    rows = rows.join(
+        F.broadcast(_renamed(fine, [*keys, _BLOCK])), _same([*keys, _BLOCK]) & _inside(), "left"
     )
-    return rows.drop(_POS, _BLOCK)
+    return rows.select(*df.columns, SLICE)
 
 
 def _border_copies(sliced: DataFrame, keys: list[str], order: list[str], before: int, after: int) -> DataFrame:
@@ -105,33 +111,27 @@ def _border_copies(sliced: DataFrame, keys: list[str], order: list[str], before:
     run before the shuffle as well (WindowGroupLimit), so a slice never travels for its border.
     """
     cut = sliced.filter(F.col(SLICE).isNotNull())
-    copies = None
+    parts = []
     for reach, ahead in ((before, False), (after, True)):
         if not reach:
             continue
-        direction = [F.asc(c) if ahead else F.desc(c) for c in order]
-        border = cut.withColumn(_NUM, F.row_number().over(W.partitionBy(*keys, SLICE).orderBy(*direction))).filter(
-            F.col(_NUM) <= reach
-        )
+        inward = [F.asc(c) if ahead else F.desc(c) for c in order]
+        border = cut.withColumn(
+            _NUM, F.row_number().over(W.partitionBy(*keys, SLICE).orderBy(*inward))
+        ).filter(F.col(_NUM) <= reach)
         # Number the border rows of a group so that a slice's own rows come right after the rows it needs.
         outward = [F.desc(c) if ahead else F.asc(c) for c in order]
         border = border.withColumn(_NUM, F.row_number().over(W.partitionBy(*keys).orderBy(*outward)))
+        first = F.col("first")
         needs = (
             border.groupBy(*keys, SLICE)
             .agg(F.min(_NUM).alias("first"))
-            .select(
-                *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-                F.col(SLICE).alias("__to"),
-                F.explode(F.sequence(F.col("first") - reach, F.col("first") - 1)).alias("__need"),
-            )
+            .select(*keys, F.col(SLICE).alias("__to"), F.explode(F.sequence(first - reach, first - 1)).alias("__need"))
             .filter("__need > 0")
         )
-        match = border[_NUM] == needs["__need"]
-        for i, k in enumerate(keys):
-            match = match & border[k].eqNullSafe(needs[f"__k{i}"])
-        found = border.join(needs, match).withColumn(SLICE, F.col("__to")).select(*sliced.columns)
-        copies = found if copies is None else copies.unionByName(found)
-    return copies
+        found = border.join(_renamed(needs, keys), _same(keys) & (F.col(_NUM) == F.col("__need")))
+        parts.append(found.withColumn(SLICE, F.col("__to")).select(*sliced.columns))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def over_slices(
@@ -201,14 +201,10 @@ def rows_since(
         .agg(F.count("*").alias("rows"), F.max(mark).alias("last"))
         .withColumn("start", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
         .withColumn("carried", F.max(F.col("start") + F.col("last")).over(earlier))
-        .select(
-            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(SLICE).alias("__to"), "start", "carried"
-        )
+        .select(*keys, F.col(SLICE).alias("__to"), "start", "carried")
     )
-    match = numbered[SLICE] == totals["__to"]
-    for i, k in enumerate(keys):
-        match = match & numbered[k].eqNullSafe(totals[f"__k{i}"])
+    match = _same(keys) & (F.col(SLICE) == F.col("__to"))
     since = F.coalesce(
         F.col(_NUM) - F.col("__last"), F.col("start") + F.col(_NUM) - F.col("carried")
     )
-    return numbered.join(F.broadcast(totals), match, "left").withColumn(name, since).select(*df.columns, name)
+    return numbered.join(F.broadcast(_renamed(totals, keys)), match, "left").withColumn(name, since).select(*df.columns, name)
