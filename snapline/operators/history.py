@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from snapline.functions.plays import flag, share
-from snapline.operators.ranks import dense_rank_desc
+from snapline.operators.ranks import dense_ranks_desc
 
 
 def game_aggregates(silver: DataFrame) -> DataFrame:
@@ -30,8 +30,9 @@ def game_aggregates(silver: DataFrame) -> DataFrame:
 
 
 def team_rankings(games: DataFrame) -> DataFrame:
-    ranked = dense_rank_desc(games, "avg_yards_per_play", "yards_per_play_rank")
-    return dense_rank_desc(ranked, "success_rate", "success_rate_rank")
+    return dense_ranks_desc(
+        games, {"avg_yards_per_play": "yards_per_play_rank", "success_rate": "success_rate_rank"}
+    )
 
 
 def weekly_aggregates(silver: DataFrame) -> DataFrame:

@@ -10,18 +10,13 @@ DIGITS = 6
 BUCKETS_PER_UNIT = 100
 
 
-def dense_rank_desc(df: DataFrame, metric: str, name: str) -> DataFrame:
-    """Add the dense rank of ``metric`` (rounded to 6 digits), largest first, NULL last.
-
-    Equal values are folded first, so a value that many rows share costs one row. Distinct values are
-    ranked inside fixed buckets of 1/100 (at most 10,000 rounded values each); the bucket totals, one row
-    per bucket of the value range, are the only data that meets in one task.
-    """
-    value, bucket = F.col("__value"), F.col("__bucket")
-    rounded = F.round(metric, DIGITS)
-    # One extra bucket below all others holds the NULL.
-    values = df.select(rounded.alias("__value")).distinct().withColumn(
-        "__bucket", F.floor(value * BUCKETS_PER_UNIT)
+def _ranked_values(df: DataFrame, metric: str, name: str) -> DataFrame:
+    """(metric value, rank) over the distinct rounded values of ``df``."""
+    value, bucket = F.col(f"__{metric}"), F.col("__bucket")
+    values = (
+        df.select(F.round(metric, DIGITS).alias(f"__{metric}"))
+        .distinct()
+        .withColumn("__bucket", F.floor(value * BUCKETS_PER_UNIT))
     )
     inside = W.partitionBy("__bucket").orderBy(value.desc_nulls_last())
     ranked = values.withColumn("__rank", F.row_number().over(inside))
@@ -29,11 +24,23 @@ def dense_rank_desc(df: DataFrame, metric: str, name: str) -> DataFrame:
     offsets = (
         values.groupBy("__bucket")
         .agg(F.count("*").alias("n"))
-        .select(
-            bucket.alias("__offset_bucket"), F.coalesce(F.sum("n").over(higher), F.lit(0)).alias("__offset")
-        )
+        .select(bucket.alias("__offset_bucket"), F.coalesce(F.sum("n").over(higher), F.lit(0)).alias("__offset"))
     )
-    ranked = ranked.join(offsets, bucket.eqNullSafe(F.col("__offset_bucket"))).select(
-        "__value", (F.col("__rank") + F.col("__offset")).alias(name)
+    return ranked.join(offsets, bucket.eqNullSafe(F.col("__offset_bucket"))).select(
+        value, (F.col("__rank") + F.col("__offset")).alias(name)
     )
-    return df.join(ranked, rounded.eqNullSafe(value)).drop("__value")
+
+
+def dense_ranks_desc(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
+    """Add the dense rank of each metric (rounded to 6 digits), largest first, NULL last.
+
+    ``ranks`` maps a metric to the name of its rank. Equal values are folded first, so a value that many
+    rows share costs one row. Distinct values are ranked inside fixed buckets of 1/100 (at most 10,000
+    rounded values each); the bucket totals, one row per bucket of the value range, are the only data
+    that meets in one task. ``df`` is read once per metric besides the result: pass a stored table.
+    """
+    ranked = df
+    for metric, name in ranks.items():
+        values = _ranked_values(df, metric, name)
+        ranked = ranked.join(values, F.round(metric, DIGITS).eqNullSafe(F.col(f"__{metric}")), "left").drop(f"__{metric}")
+    return ranked

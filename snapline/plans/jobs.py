@@ -66,10 +66,13 @@ def read_silver(spark: SparkSession, layout: Layout) -> DataFrame:
 def run_history(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date) -> dict[str, int]:
     """Game and week aggregates of a date range; returns rows written.
 
-    Silver is read twice rather than cached: each reading takes only its own few columns.
+    Silver is read twice rather than cached: each reading takes only its own few columns. The game
+    aggregates are stored before they are ranked, since ranking reads them several times.
     """
     silver = tables.scan_date_range(read_silver(spark, layout), start, end)
-    games = history.team_rankings(history.game_aggregates(silver))
+    unranked = f"{layout.checkpoints}/game_aggregates"
+    tables.write_table(history.game_aggregates(silver), unranked)
+    games = history.team_rankings(tables.read_table(spark, unranked))
     weeks = history.moving_averages(history.weekly_aggregates(silver))
     return {
         "gold_game_aggregates": tables.write_table(games, layout.path("gold_game_aggregates")),

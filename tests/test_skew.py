@@ -89,7 +89,7 @@ def test_dense_rank_equals_a_whole_table_window(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v double")
     df.createOrReplaceTempView("rank_input")
     expected = spark.sql("SELECT id, v, CAST(dense_rank() OVER (ORDER BY round(v, 6) DESC) AS BIGINT) AS r FROM rank_input")
-    assert spark_rows(ranks.dense_rank_desc(df, "v", "r")) == spark_rows(expected)
+    assert spark_rows(ranks.dense_ranks_desc(df, {"v": "r"})) == spark_rows(expected)
 
 
 def test_dense_ranks_have_no_gaps(inputs):
