@@ -6,6 +6,7 @@ paired only inside neighbouring grid cells (or inside frames checked to be small
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,8 +18,8 @@ from snapline.session import ensure_checkpoint_dir
 
 FRAME_KEY = [*PLAY_KEY, "frame_id"]
 PAIRS_PER_FRAME = 4096
-FINEST_CELL = 0.25
 COARSEST_CELL = 256.0
+FIELD_AREA = 53.3 * 120
 
 
 def _cell(size: float) -> list[Column]:
@@ -36,17 +37,22 @@ def _spots(frames: DataFrame, prefix: str) -> DataFrame:
     return frames.groupBy(*FRAME_KEY, "x_coord", "y_coord").agg(F.count("*").alias(f"{prefix}_n"))
 
 
-def _nearest_by_grid(receivers: DataFrame, defenders: DataFrame) -> DataFrame:
+def _first_cell(players: int) -> float:
+    """Cell width, a power of two, at which so many players spread over the field meet one per cell."""
+    return min(1.0, 2.0 ** math.floor(math.log2(math.sqrt(FIELD_AREA / max(players, 1)))))
+
+
+def _nearest_by_grid(receivers: DataFrame, defenders: DataFrame, size: float) -> DataFrame:
     """Exact nearest defender for frames with many positions.
 
-    Cells double in size from pass to pass. Whatever lies within one cell width is in the 3 x 3 cells
+    Cells start at ``size``, chosen by the largest crowd, and double in size from pass to pass. Whatever lies within one cell width is in the 3 x 3 cells
     around a receiver, so a distance of at most the width is final; the others go on to wider cells.
     Crowded frames are settled by the small cells, where few players are neighbours. Both sides of a
     pass are checkpointed, since the next pass reads them again.
     """
     spot = [*FRAME_KEY, "x_coord", "y_coord"]
     done: list[DataFrame] = []
-    open_, size = receivers, FINEST_CELL
+    open_ = receivers
     while True:
         cells = defenders.select(*FRAME_KEY, F.col("x_coord").alias("dx"), F.col("y_coord").alias("dy"), *_cell_of("dx", "dy", size))
         near = (
@@ -85,8 +91,10 @@ def nearest_defender(tracking: DataFrame, event: str = "pass_arrived", pairs_per
     sizes = at.groupBy(*FRAME_KEY).agg(
         F.count_if(is_receiver()).alias("receivers"), F.count_if(is_defender()).alias("defenders")
     )
-    crowded = sizes.filter(F.col("receivers") * F.col("defenders") > pairs_per_frame).select(*FRAME_KEY)
-    has_crowded = not crowded.isEmpty()
+    crowded = sizes.filter(F.col("receivers") * F.col("defenders") > pairs_per_frame)
+    largest = crowded.agg(F.max(F.col("receivers") + F.col("defenders")).alias("n")).first()["n"]
+    has_crowded = largest is not None
+    crowded = crowded.select(*FRAME_KEY)
 
     def small(df: DataFrame) -> DataFrame:
         return df.join(crowded, FRAME_KEY, "left_anti") if has_crowded else df
@@ -103,7 +111,7 @@ def nearest_defender(tracking: DataFrame, event: str = "pass_arrived", pairs_per
     ensure_checkpoint_dir(tracking.sparkSession)
     crowded = crowded.checkpoint()
     large = [df.join(crowded, FRAME_KEY, "left_semi").checkpoint() for df in (receivers, defenders)]
-    return found.unionByName(_nearest_by_grid(*large))
+    return found.unionByName(_nearest_by_grid(*large, _first_cell(largest)))
 
 
 def separation_nearest(tracking: DataFrame, event: str = "pass_arrived", pairs_per_frame: int = PAIRS_PER_FRAME) -> DataFrame:

@@ -84,9 +84,16 @@ def aggregate_player_play(df: DataFrame) -> DataFrame:
 
 
 def play_teams(plays: DataFrame) -> DataFrame:
-    """The two teams of each play, from its earliest copy. Partial aggregation folds the copies."""
+    """(key, possession_team, defensive_team) of each play, from its earliest copy.
+
+    Partial aggregation folds the copies. The key is a struct on purpose: Spark does not take the result
+    for one partitioned by the play columns, so a later join on those shuffles both sides, which is what
+    lets the adaptive plan split a hot play.
+    """
     earliest = F.min(F.struct("event_timestamp", "possession_team", "defensive_team"))
-    return plays.groupBy(*PLAY_KEY).agg(earliest.alias("p")).select(*PLAY_KEY, "p.possession_team", "p.defensive_team")
+    return plays.groupBy(F.struct(*PLAY_KEY).alias("key")).agg(earliest.alias("p")).select(
+        "key", "p.possession_team", "p.defensive_team"
+    )
 
 
 def with_roles(tracking: DataFrame, plays: DataFrame) -> DataFrame:
@@ -98,7 +105,8 @@ def with_roles(tracking: DataFrame, plays: DataFrame) -> DataFrame:
     side = F.when(F.col("team") == F.col("possession_team"), "offense").when(
         F.col("team") == F.col("defensive_team"), "defense"
     )
-    return tracking.join(play_teams(plays), PLAY_KEY).withColumn("side", side)
+    teams = play_teams(plays).select("key.*", "possession_team", "defensive_team")
+    return tracking.join(teams, PLAY_KEY).withColumn("side", side)
 
 
 def team_partials(tracking: DataFrame, *slices: Column) -> DataFrame:
@@ -171,5 +179,11 @@ def play_metrics(partials: DataFrame, keys: list[str] = PLAY_KEY, **carried: Col
 
 
 def aggregate_play_tracking(tracking: DataFrame, plays: DataFrame) -> DataFrame:
-    """Offense, defense, QB, receiver and pressure measures per play, in one pass."""
-    return play_metrics(team_partials(tracking).join(play_teams(plays), PLAY_KEY))
+    """Offense, defense, QB, receiver and pressure measures per play, in one pass.
+
+    Sums and teams meet on the struct key of ``play_teams``; the measures are grouped by it without
+    another shuffle.
+    """
+    partials = team_partials(tracking).withColumn("key", F.struct(*PLAY_KEY)).drop(*PLAY_KEY)
+    metrics = play_metrics(partials.join(play_teams(plays), "key"), ["key"])
+    return metrics.select("key.*", *metrics.columns[1:])

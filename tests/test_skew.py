@@ -112,6 +112,54 @@ def test_copies_of_a_play_do_not_multiply_frames(inputs):
     assert tracking.with_roles(inputs.tracking, copies).count() == inputs.tracking.count()
 
 
+def run_skewed(spark, df):
+    """Final plan of a run in which small partitions already count as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        result = df()
+        rows = spark_rows(rounded(result))
+        result.write.format("noop").mode("overwrite").save()
+        result.collect()
+        return rows, result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_play_is_split_in_the_role_join(spark, inputs):
+    play = inputs.plays.first()["play_id"]
+    hot = inputs.tracking.withColumn("play_id", F.when(F.hash("player_id", "frame_id") % 3 == 0, play).otherwise(F.col("play_id")))
+    game = inputs.plays.filter(F.col("play_id") == play).first()["game_id"]
+    hot = hot.withColumn("game_id", F.when(F.col("play_id") == play, game).otherwise(F.col("game_id"))).repartition(8).persist()
+    expected = spark_rows(rounded(tracking.with_roles(hot, inputs.plays)))
+    rows, plan = run_skewed(spark, lambda: tracking.with_roles(hot, inputs.plays))
+    assert rows == expected and "skew=true" in plan
+    hot.unpersist()
+
+
+def test_hot_copies_are_split_in_the_silver_join(spark, inputs):
+    from snapline.operators.silver import silver_plays
+
+    first = inputs.bronze.orderBy("event_timestamp").limit(1)
+    copies = first.select("*", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("col")
+    plays = inputs.bronze.unionByName(copies).repartition(8).persist()
+    frames = inputs.bronze_tracking.persist()
+    expected = spark_rows(rounded(silver_plays(plays, frames)))
+    rows, plan = run_skewed(spark, lambda: silver_plays(plays, frames))
+    assert rows == expected and "skew=true" in plan
+    plays.unpersist()
+    frames.unpersist()
+
+
 LAZY = [n for n in queries() if not n.startswith(("stream_", "sink_"))]
 
 
