@@ -188,7 +188,7 @@ def rows_since(
         sliced, parts = with_slice(df, cuts, keys, order), [*keys, SLICE]
     window = W.partitionBy(*parts).orderBy(*order)
     mark = F.when(F.col(event), F.col(_NUM))
-    numbered = sliced.withColumn(_NUM, F.row_number().over(window)).withColumn(
+    numbered = sliced.withColumn(_NUM, F.row_number().over(window).cast("bigint")).withColumn(
         "__last", F.max(mark).over(window.rowsBetween(W.unboundedPreceding, -1))
     )
     if cuts is None:

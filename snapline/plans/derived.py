@@ -6,7 +6,7 @@ with the table. Both are plain projections; a filter on time still reaches the P
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PLAYERS = 8
@@ -17,80 +17,68 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _team(side: Column) -> Column:
+def _team(side: str) -> str:
     """The game's own team for even sides, its opponent for odd ones."""
-    user = F.col("user_id")
-    return F.concat(F.lit("T"), (F.when(side % 2 == 0, user).otherwise(user + 1 + user % 7) % 16).cast("string"))
+    return f"concat('T', string(CASE WHEN ({side}) % 2 = 0 THEN user_id ELSE user_id + 1 + user_id % 7 END % 16))"
 
 
-def _int(value: Column) -> Column:
-    return value.cast("int")
-
-
-def _unless(condition: Column, value: Column) -> Column:
-    return _int(F.when(~condition, value))
-
-
-def _pick(value: Column, *names: str) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), _int(value) + 1)
+def _pick(value: str, *names: str) -> str:
+    quoted = ", ".join(f"'{n}'" for n in names)
+    return f"element_at(array({quoted}), int({value}) + 1)"
 
 
 def plays_from_events(events: DataFrame) -> DataFrame:
-    e = F.col("event_id")
-    kind = F.col("event_type")
-    yards = F.floor("value") % 40
-    return events.select(
-        F.concat(F.lit("G"), F.col("user_id").cast("string")).alias("game_id"),
-        F.concat(F.lit("P"), e.cast("string")).alias("play_id"),
-        F.col("ts").alias("event_timestamp"),
-        _team(e).alias("possession_team"),
-        _team(e + 1).alias("defensive_team"),
-        _unless(e % 23 == 0, F.when(e % 29 == 0, 5).otherwise(1 + (e * 11) % 4)).alias("down"),
-        _unless(e % 31 == 0, (e * 7) % 15).alias("yards_to_go"),
-        _unless(e % 41 == 0, 1 + (e * 13) % 100).alias("yard_line"),
-        _int(1 + (e * 3) % 5).alias("quarter"),
-        _unless(e % 37 == 0, (e * 41) % 901).alias("time_remaining"),
-        F.when(kind == "view", "run")
-        .when(kind.isin("click", "purchase"), "pass")
-        .when(kind == "signup", "punt")
-        .otherwise("field_goal")
-        .alias("play_type"),
-        F.when(yards > 8, "complete").otherwise("incomplete").alias("play_result"),
-        _int(yards - 8).alias("yards_gained"),
-        (e % 27 == 0).alias("is_touchdown"),
-        (e % 33 == 0).alias("is_turnover"),
-        (e % 20 == 0).alias("is_penalty"),
-        _int(F.when(e % 20 == 0, -5 * (1 + e % 3)).otherwise(0)).alias("penalty_yards"),
-        _int(e % 36).alias("score_home"),
-        _int((e * 5) % 29).alias("score_away"),
-        _pick(e % 3, "shotgun", "under_center", "pistol").alias("formation"),
-        _pick(e % 3, "11_personnel", "12_personnel", "21_personnel").alias("personnel_offense"),
-        _pick(e % 4, "4-3", "3-4", "nickel", "dime").alias("personnel_defense"),
-    )
+    """Text expressions: one call each, where a column object takes dozens between Python and the JVM."""
+    columns = {
+        "game_id": "concat('G', string(user_id))",
+        "play_id": "concat('P', string(event_id))",
+        "event_timestamp": "ts",
+        "possession_team": _team("event_id"),
+        "defensive_team": _team("event_id + 1"),
+        "down": "int(if(event_id % 23 = 0, NULL, if(event_id % 29 = 0, 5, 1 + (event_id * 11) % 4)))",
+        "yards_to_go": "int(if(event_id % 31 = 0, NULL, (event_id * 7) % 15))",
+        "yard_line": "int(if(event_id % 41 = 0, NULL, 1 + (event_id * 13) % 100))",
+        "quarter": "int(1 + (event_id * 3) % 5)",
+        "time_remaining": "int(if(event_id % 37 = 0, NULL, (event_id * 41) % 901))",
+        "play_type": "CASE WHEN event_type = 'view' THEN 'run' WHEN event_type IN ('click', 'purchase') THEN 'pass' "
+        "WHEN event_type = 'signup' THEN 'punt' ELSE 'field_goal' END",
+        "play_result": "if(floor(value) % 40 > 8, 'complete', 'incomplete')",
+        "yards_gained": "int(floor(value) % 40 - 8)",
+        "is_touchdown": "event_id % 27 = 0",
+        "is_turnover": "event_id % 33 = 0",
+        "is_penalty": "event_id % 20 = 0",
+        "penalty_yards": "int(if(event_id % 20 = 0, -5 * (1 + event_id % 3), 0))",
+        "score_home": "int(event_id % 36)",
+        "score_away": "int((event_id * 5) % 29)",
+        "formation": _pick("event_id % 3", "shotgun", "under_center", "pistol"),
+        "personnel_offense": _pick("event_id % 3", "11_personnel", "12_personnel", "21_personnel"),
+        "personnel_defense": _pick("event_id % 4", "4-3", "3-4", "nickel", "dime"),
+    }
+    return events.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
 
 
 def tracking_from_events(events: DataFrame) -> DataFrame:
-    e, k, f = F.col("event_id"), F.col("k"), F.col("f")
-    frames = events.select(
-        "event_id", "user_id", "ts", F.explode(F.sequence(F.lit(0), F.lit(PLAYERS - 1))).alias("k")
-    ).select("*", F.explode(F.sequence(F.lit(0), F.lit(FRAMES - 1))).alias("f"))
-    return frames.select(
-        F.concat(F.lit("G"), F.col("user_id").cast("string")).alias("game_id"),
-        F.concat(F.lit("P"), e.cast("string")).alias("play_id"),
-        (F.col("ts") + F.make_dt_interval(secs=f * 0.1)).alias("timestamp"),
-        _int(f).alias("frame_id"),
-        F.concat(F.lit("P"), e.cast("string"), F.lit("_"), k.cast("string")).alias("player_id"),
-        _team(e + F.when(k < 4, 0).otherwise(1)).alias("team"),
-        _int(1 + (e + k * 11) % 99).alias("jersey_number"),
-        _pick(k, "QB", "WR", "TE", "RB", "DE", "DT", "LB", "DB").alias("position"),
-        (((e * 17 + k * (e % 30) + f * ((e + k * 3) % 40)) % 540).cast("double") / 10).alias("x_coord"),
-        (((e * 19 + k * (e % 13) + f * 5) % 1201).cast("double") / 10).alias("y_coord"),
-        F.when((e + k + f) % 43 != 0, ((e * 7 + k * 31 + f * 3) % 258).cast("double") / 10).alias("speed"),
-        (((e * 3 + k) % 80 - 40).cast("double") / 10).alias("acceleration"),
-        ((e * 23 + k * 45) % 361).cast("double").alias("direction"),
-        ((e * 29 + k * 30) % 361).cast("double").alias("orientation"),
-        _pick(f, "snap", "pass", "pass_arrived").alias("event"),
-    )
+    frames = events.selectExpr(
+        "event_id AS e", "user_id", "ts", f"explode(sequence(0, {PLAYERS - 1})) AS k"
+    ).selectExpr("*", f"explode(sequence(0, {FRAMES - 1})) AS f")
+    columns = {
+        "game_id": "concat('G', string(user_id))",
+        "play_id": "concat('P', string(e))",
+        "timestamp": "ts + make_dt_interval(0, 0, 0, f * 0.1)",
+        "frame_id": "f",
+        "player_id": "concat('P', string(e), '_', string(k))",
+        "team": _team("e + if(k < 4, 0, 1)"),
+        "jersey_number": "int(1 + (e + k * 11) % 99)",
+        "position": _pick("k", "QB", "WR", "TE", "RB", "DE", "DT", "LB", "DB"),
+        "x_coord": "double((e * 17 + k * (e % 30) + f * ((e + k * 3) % 40)) % 540) / 10",
+        "y_coord": "double((e * 19 + k * (e % 13) + f * 5) % 1201) / 10",
+        "speed": "if((e + k + f) % 43 = 0, NULL, double((e * 7 + k * 31 + f * 3) % 258) / 10)",
+        "acceleration": "double((e * 3 + k) % 80 - 40) / 10",
+        "direction": "double((e * 23 + k * 45) % 361)",
+        "orientation": "double((e * 29 + k * 30) % 361)",
+        "event": _pick("f", "snap", "pass", "pass_arrived"),
+    }
+    return frames.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
 
 
 def spread(df: DataFrame, table: DataFrame | None = None) -> DataFrame:

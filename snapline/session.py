@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # The JVM never compiles methods over 8,000 bytes; wide projections are better split than fused.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Commit the changes of a batch instead of whole state files.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
