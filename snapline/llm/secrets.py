@@ -1,0 +1,127 @@
+"""Secret scan: known forms by pattern, other strings by the entropy of a sliding window per character class.
+
+Defined results: a missing text counts as empty and has no spans; texts are read whole; repeated rows give equal results; no
+rows, no result. Only ``doc_id`` and ``text`` are read. Positions are code points, ends exclusive.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from snapline.llm.common import bound, table
+
+KINDS = ("assign", "access", "hex", "entropy")
+ASSIGN = r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+# A greedy run is too short in all its parts if it is too short, so the least length can stand in these two patterns.
+ACCESS = r"AKIA[A-Z0-9]{16,}"
+HEX = r"[0-9a-f]{24,}"
+CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+SPAN = 20
+#: (class, pattern of a whole candidate, its characters, least entropy in bits of some window of SPAN characters)
+CLASSES = (
+    ("hex", "^[0-9A-Fa-f-]+$", "0123456789abcdefABCDEF-", 3.0),
+    ("base64", "^.*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.7),
+)
+#: Candidates that match one of these are no secrets; fixed values.
+ALLOWED = (
+    "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
+    "^[A-Za-z/_=+-]+$",  # no digit: words, paths, rules
+    "^[0-9/_=+-]+$",  # no letter: numbers, dates
+    "^[a-z]+([-_/][a-z0-9]+)+$",  # slugs and paths
+    "EXAMPLE",
+)
+
+
+def spans_of(text: Column, pattern: str, kind: int, keep=None) -> Column:
+    """Spans (start, kind, finish, hit) of the leftmost non-overlapping matches, by the lengths of what lies between."""
+
+    def placed(gaps: Column, hits: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            start = acc["at"] + F.length(gaps[i])
+            finish = start + F.length(hits[i])
+            span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), finish.alias("finish"), hits[i].alias("hit"))
+            return F.struct(finish.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+
+        zero = F.struct(F.lit(0).alias("at"), none().alias("spans"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), zero, step, lambda acc: acc["spans"])
+
+    found = bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda hits: bound(F.split(text, pattern), lambda gaps: placed(gaps, hits)))
+    return F.when(text.rlike(pattern), found).otherwise(none())
+
+
+def none() -> Column:
+    return F.array().cast("array<struct<start:int,kind:int,finish:int,hit:string>>")
+
+
+def entropy_range(candidate: Column, alphabet: str, least: float) -> Column:
+    """(lo, hi): from the start of the first window of SPAN characters with that entropy to the end of the last; null if none.
+
+    Counts per character are kept while the window slides: each step adds one character and takes one away, and the sum
+    of c * log2(c), which gives the entropy, changes by these two counts only.
+    """
+    size = len(alphabet)
+    term = lambda c: F.when(c > 1, c * F.log2(c)).otherwise(F.lit(0.0))
+    count = lambda counts, i: F.coalesce(F.get(counts, i), F.lit(0))
+
+    def step(acc: Column, i: Column) -> Column:
+        into = F.instr(F.lit(alphabet), F.substring(candidate, i, F.lit(1))) - 1
+        out = F.when(i > SPAN, F.instr(F.lit(alphabet), F.substring(candidate, i - SPAN, F.lit(1))) - 1).otherwise(F.lit(-1))
+
+        def added(into: Column, out: Column) -> Column:
+            a, b = count(acc["counts"], into), F.when(out >= 0, count(acc["counts"], out)).otherwise(F.lit(0))
+            change = F.when(into == out, F.lit(0.0)).otherwise(term(a + 1) - term(a) + F.when(out >= 0, term(b - 1) - term(b)).otherwise(F.lit(0.0)))
+            total = acc["total"] + change
+            full = (i >= SPAN) & (F.log2(F.lit(float(SPAN))) - total / SPAN >= least)
+            return F.struct(
+                F.transform(acc["counts"], lambda c, k: c + (k == into).cast("int") - (k == out).cast("int")).alias("counts"),
+                total.alias("total"),
+                F.when(full & acc["lo"].isNull(), i - SPAN).otherwise(acc["lo"]).alias("lo"),
+                F.when(full, i).otherwise(acc["hi"]).alias("hi"),
+            )
+
+        return bound(F.struct(into.alias("i"), out.alias("o")), lambda p: added(p["i"], p["o"]))
+
+    zero = F.struct(F.array_repeat(F.lit(0), size).alias("counts"), F.lit(0.0).alias("total"), F.lit(None).cast("int").alias("lo"), F.lit(None).cast("int").alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.length(candidate)), zero, step, lambda acc: F.struct(acc["lo"].alias("lo"), acc["hi"].alias("hi")))
+
+
+def entropy_spans(text: Column, base: Column) -> Column:
+    """Spans of high-entropy windows in candidates that are not allowed and do not touch a span of ``base``."""
+
+    def judged(c: Column) -> Column:
+        chain = None
+        for _, shape, alphabet, least in reversed(CLASSES):
+            found = entropy_range(c["hit"], alphabet, least)
+            chain = found if chain is None else F.when(c["hit"].rlike(shape), found).otherwise(chain)
+        return bound(chain, lambda r: F.struct((c["start"] + r["lo"]).alias("start"), c["kind"].alias("kind"), (c["start"] + r["hi"]).alias("finish"), c["hit"].alias("hit")))
+
+    fair = lambda c: ~F.exists(base, lambda b: (b["start"] < c["finish"]) & (c["start"] < b["finish"])) & ~c["hit"].rlike("|".join(ALLOWED))
+    candidates = F.filter(spans_of(text, CANDIDATE, KINDS.index("entropy")), fair)
+    return F.filter(F.transform(candidates, judged), lambda s: s["start"].isNotNull())
+
+
+def scan(docs: DataFrame) -> DataFrame:
+    """doc_id, ``base`` and ``added``: arrays of (start, kind, finish, hit), each in order."""
+    text = F.coalesce("text", F.lit(""))
+    value = F.regexp_extract
+    long_enough = lambda s: F.length(value(s["hit"], ASSIGN, 1)) >= 6
+    base = F.concat(F.filter(spans_of(text, ASSIGN, 0), long_enough), spans_of(text, ACCESS, 1), spans_of(text, HEX, 2))
+    rows = docs.select("doc_id", "text", F.sort_array(base).alias("base"))
+    return rows.select("doc_id", "base", F.sort_array(entropy_spans(text, F.col("base"))).alias("added"))
+
+
+def listed(spans: Column) -> Column:
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", kinds[s["kind"]], s["start"], s["finish"])), ",")
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scan(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return rows.select(
+        "doc_id",
+        count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        listed(F.sort_array(F.concat("base", "added"))).alias("spans"),
+    )
