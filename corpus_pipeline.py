@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapline.llm import decontamination, language, mixing, sharding
+from snapline.llm import decontamination, language, mixing, neardup, sharding
 from snapline.llm.common import importable, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,6 +18,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language.known_documents(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    importable(spark)
+    return neardup.distinct_documents(docs)
+
+
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     importable(spark)
@@ -35,6 +41,7 @@ def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", identify_language),
+    ("near_dedup", drop_near_copies),
     ("decontamination", drop_benchmark),
     ("source_mixing", mix_sources),
     ("sharding", cut_shards),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapline.llm import decontamination, language, mixing, quality, secrets, sharding
+from snapline.llm import decontamination, language, mixing, neardup, quality, secrets, sharding
 from snapline.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,7 @@ _QUERIES: tuple[Query, ...] = (
     quality.op1_quality_rules,
     mixing.op2_source_mixing,
     secrets.op3_secret_scan,
+    neardup.op5_minhash_dedup,
     decontamination.op7_decontamination,
     sharding.op9_sharding,
     language.op10_language_id,
