@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapline.llm import decontamination, language, mixing, neardup, quality, secrets, sharding
+from snapline.llm import chat, decontamination, language, mixing, neardup, quality, secrets, sharding, toxicity, urls
 from snapline.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,8 +15,11 @@ _QUERIES: tuple[Query, ...] = (
     quality.op1_quality_rules,
     mixing.op2_source_mixing,
     secrets.op3_secret_scan,
+    toxicity.op4_toxicity,
     neardup.op5_minhash_dedup,
+    urls.op6_url_filter,
     decontamination.op7_decontamination,
+    chat.op8_chat_format,
     sharding.op9_sharding,
     language.op10_language_id,
 )
