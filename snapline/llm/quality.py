@@ -39,10 +39,22 @@ RULES = (
 )
 
 
+def window_hashes(w: Column) -> Column:
+    """The hash of each ``WINDOW``-word window, from hashes of its halves, so that a word is hashed once."""
+
+    def doubling(reach: int):
+        return lambda h: F.zip_with(h, F.slice(h, F.lit(reach + 1), F.size(h)), lambda a, b: F.xxhash64(a, b))
+
+    hashes = F.transform(w, lambda x: F.xxhash64(x))
+    for reach in (1, 2, 4):  # window lengths that are joined with the ones right behind them
+        hashes = bound(hashes, doubling(reach))
+    return F.slice(hashes, F.lit(1), F.greatest(F.size(w) - WINDOW + 1, F.lit(0)))
+
+
 def repeat_words(w: Column) -> Column:
     """Words inside ``WINDOW``-word windows that occur twice or more in the same array of words.
 
-    Windows are ordered by hash, so that equal ones are neighbours, and compared word by word.
+    Only where hashes repeat, windows are ordered by hash, so that equal ones are neighbours, and compared word by word.
     """
 
     def covered(windows: Column) -> Column:
@@ -57,8 +69,11 @@ def repeat_words(w: Column) -> Column:
         step = lambda acc, p: F.struct((p + WINDOW).alias("upto"), (acc["n"] + p + WINDOW - F.greatest(p, acc["upto"])).alias("n"))
         return F.aggregate(places, start, step, lambda acc: acc["n"])
 
-    windows = F.transform(F.sequence(F.lit(1), F.size(w) - WINDOW + 1), lambda p: F.struct(F.xxhash64(F.slice(w, p, WINDOW)).alias("h"), p.alias("p")))
-    return F.when(F.size(w) < WINDOW + 1, F.lit(0)).otherwise(bound(F.sort_array(windows), covered))
+    def counted(hashes: Column) -> Column:
+        windows = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), (i + 1).alias("p")))
+        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(bound(F.sort_array(windows), covered))
+
+    return F.when(F.size(w) < WINDOW + 1, F.lit(0)).otherwise(bound(window_hashes(w), counted))
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -67,7 +82,6 @@ def measures(docs: DataFrame) -> DataFrame:
 
     def counts(w: Column) -> Column:
         lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-        stops = F.array(*[F.lit(s) for s in dict.fromkeys(STOP_WORDS)])
         return F.struct(
             F.size(w).cast("long").alias("n_words"),
             F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
@@ -76,7 +90,7 @@ def measures(docs: DataFrame) -> DataFrame:
             repeat_words(w).cast("long").alias("n_repeat_words"),
             F.length(F.regexp_replace(text, "[^!?]+", "")).alias("marks"),
             F.length(F.regexp_replace(text, r"\P{Lu}+", "")).alias("capitals"),
-            F.size(F.filter(w, lambda x: F.array_contains(stops, F.lower(x)))).alias("stop_words"),
+            F.size(F.filter(w, lambda x: F.lower(x).isin(*dict.fromkeys(STOP_WORDS)))).alias("stop_words"),
         )
 
     m = docs.select("doc_id", bound(words(F.col("text")), counts).alias("m"))
