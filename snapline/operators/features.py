@@ -7,21 +7,21 @@ from pyspark.sql import functions as F
 
 from snapline.functions.plays import flag, share
 from snapline.operators import plays as p
-from snapline.operators.ordered import ROWS_PER_SLICE, over_slices, rows_since
+from snapline.operators.ordered import over_parts, rows_since
 from snapline.schemas import FEATURE_COLUMNS
 
 PLAY_ORDER = ["event_timestamp", "play_id"]
 
 
 def add_rolling_features(
-    df: DataFrame, n: int = 5, *, sized_by: DataFrame | None = None, rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame, n: int = 5, *, partitions: int | None = None
 ) -> DataFrame:
     """Means over the possession team's previous ``n`` plays; NULL on its first play."""
 
     def last(w):
         return w.rowsBetween(-n, -1)
 
-    return over_slices(
+    return over_parts(
         df,
         ["possession_team"],
         PLAY_ORDER,
@@ -32,13 +32,12 @@ def add_rolling_features(
             f"turnovers_last_{n}": lambda w: F.sum(flag(F.col("is_turnover"))).over(last(w)),
         },
         before=n,
-        sized_by=sized_by,
-        rows_per_slice=rows_per_slice,
+        partitions=partitions,
     )
 
 
 def add_plays_since_turnover(
-    df: DataFrame, *, sized_by: DataFrame | None = None, rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame, *, partitions: int | None = None
 ) -> DataFrame:
     """Plays of the team since its last turnover; NULL before the first one."""
     return rows_since(
@@ -47,20 +46,19 @@ def add_plays_since_turnover(
         PLAY_ORDER,
         "is_turnover",
         "plays_since_turnover",
-        sized_by=sized_by,
-        rows_per_slice=rows_per_slice,
+        partitions=partitions,
     )
 
 
 def add_opponent_features(
-    df: DataFrame, n: int = 20, *, sized_by: DataFrame | None = None, rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame, n: int = 20, *, partitions: int | None = None
 ) -> DataFrame:
     """What the defensive team allowed over its previous ``n`` plays."""
 
     def last(w):
         return w.rowsBetween(-n, -1)
 
-    return over_slices(
+    return over_parts(
         df,
         ["defensive_team"],
         PLAY_ORDER,
@@ -70,8 +68,7 @@ def add_opponent_features(
             "opp_pressure_rate": lambda w: F.avg("defensive_pressure_rate").over(last(w)),
         },
         before=n,
-        sized_by=sized_by,
-        rows_per_slice=rows_per_slice,
+        partitions=partitions,
     )
 
 
@@ -82,10 +79,10 @@ def select_final_features(df: DataFrame) -> DataFrame:
 
 
 def ml_features(
-    silver: DataFrame, *, sized_by: DataFrame | None = None, rows_per_slice: int = ROWS_PER_SLICE
+    silver: DataFrame, *, partitions: int | None = None
 ) -> DataFrame:
     """The whole feature table. Two shuffles: by possession team and by defensive team."""
-    windows = {"sized_by": sized_by, "rows_per_slice": rows_per_slice}
+    windows = {"partitions": partitions}
     return (
         silver.transform(lambda df: add_rolling_features(df, **windows))
         .transform(p.add_game_context_features)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapline.functions import plays as p
-from snapline.operators.ordered import ROWS_PER_SLICE, over_slices
+from snapline.operators.ordered import over_parts
 from snapline.schemas import PLAY_KEY
 
 EFFECTIVENESS_PASSED = [
@@ -48,10 +48,10 @@ def play_effectiveness(silver: DataFrame) -> DataFrame:
 
 
 def play_sequences(
-    silver: DataFrame, *, sized_by: DataFrame | None = None, rows_per_slice: int = ROWS_PER_SLICE
+    silver: DataFrame, *, partitions: int | None = None
 ) -> DataFrame:
     """Score and field position of the neighbouring plays of the game."""
-    return over_slices(
+    return over_parts(
         silver,
         ["game_id"],
         ["event_timestamp", "play_id"],
@@ -62,16 +62,15 @@ def play_sequences(
         },
         before=1,
         after=1,
-        sized_by=sized_by,
-        rows_per_slice=rows_per_slice,
+        partitions=partitions,
     )
 
 
 def win_probability(
-    silver: DataFrame, *, sized_by: DataFrame | None = None, rows_per_slice: int = ROWS_PER_SLICE
+    silver: DataFrame, *, partitions: int | None = None
 ) -> DataFrame:
     """Win probability before and after each play, and what the play added."""
-    rows = play_sequences(silver, sized_by=sized_by, rows_per_slice=rows_per_slice)
+    rows = play_sequences(silver, partitions=partitions)
     return (
         rows.withColumn("win_probability_before", p.win_probability_before())
         .withColumn("win_probability_after", p.win_probability_after())

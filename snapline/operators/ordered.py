@@ -1,75 +1,35 @@
 """Row-frame windows that do not put a whole group into one task.
 
 Sixteen teams mean sixteen window tasks, whatever the size of the table, and one game may hold a third
-of all rows. ``over_slices`` therefore cuts every large group along its row order:
+of all rows. Every table therefore goes the same way, whatever its size:
 
-1. A sample of the key and order columns places cut points (at most ``MAX_SLICES``). It only decides
-   where to cut; every row is processed and the result does not depend on it.
-2. Each row gets its slice by broadcast lookup in the cut points: no shuffle.
-3. The rows at the slice borders that a neighbour's frame reaches are copied to that neighbour.
-4. One window over (keys, slice) computes the columns and the copies are dropped.
+1. Rows are range-partitioned by (keys, order) and stored once under the shared work folder, with the number of
+   their partition. The upstream plan runs once, and what follows reads the stored rows.
+2. Only the groups that lie in several partitions are cut; there are fewer of them than partitions.
+3. The rows at the borders of their parts that a neighbour's frame reaches are copied to that neighbour.
+4. One window over (keys, part) computes the columns and the copies are dropped.
 
-Groups without cut points stay whole, and a table of at most ``ROWS_PER_SLICE`` rows takes the plain window.
-The order columns must be unique within a group.
+The order columns must be unique within a group. Comparisons of keys and order stay inside Spark, so neither time zones
+nor the driver's types touch them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
-from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-ROWS_PER_SLICE = 2_000_000
-MAX_SLICES = 65_536
-SAMPLED_PER_SLICE = 16
-SLICES_PER_BLOCK = 256
+from snapline.session import work_dir
 
-SLICE = "__slice"
-_BLOCK = "__block"
+PART = "__part"
 _COPY = "__copy"
-_POS = "__pos"
 _NUM = "__num"
 
 
-def slice_cuts(
-    df: DataFrame, keys: list[str], order: list[str], rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame | None:
-    """Slice intervals [lo, hi) per large group, or None if no group needs cutting.
-
-    At most ``MAX_SLICES`` cut points reach the driver: the sampling rate falls as the table grows.
-    """
-    total = df.count()
-    if total <= rows_per_slice:
-        return None
-    rows = max(rows_per_slice, -(-total // MAX_SLICES))
-    number = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    picked = (
-        df.select(*keys, *order)
-        .sample(fraction=min(1.0, SAMPLED_PER_SLICE / rows), seed=1)
-        .withColumn(_NUM, number)
-        .filter(F.col(_NUM) % SAMPLED_PER_SLICE == 0)
-        .select(F.struct(*keys).alias("key"), _NUM, F.struct(*order).alias("lo"))
-    )
-    cuts = sorted(picked.collect(), key=lambda row: (repr(row["key"]), row[_NUM]))
-    if not cuts:
-        return None
-    intervals = []
-    for _, group in groupby(cuts, key=lambda row: repr(row["key"])):
-        points = list(group)
-        edges = [None, *[p["lo"] for p in points], None]
-        for slice_no in range(len(points) + 1):
-            intervals.append((points[0]["key"], slice_no, edges[slice_no], edges[slice_no + 1]))
-    schema = picked.select("key", F.lit(0).alias(SLICE), "lo", F.col("lo").alias("hi")).schema
-    for field in schema.fields:
-        field.nullable = True
-    return df.sparkSession.createDataFrame(intervals, schema).select("key.*", SLICE, "lo", "hi")
-
-
 def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
     """Key columns under other names, for the right side of a join."""
     return df.withColumnsRenamed({k: f"__k_{k}" for k in keys})
@@ -79,62 +39,63 @@ def _same(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
 
 
-def _inside() -> Column:
-    lo, hi, pos = F.col("lo"), F.col("hi"), F.col(_POS)
-    return (lo.isNull() | (lo <= pos)) & (hi.isNull() | (pos < hi))
+def stored_in_ranges(df: DataFrame, keys: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
+    """The rows in ranges of (keys, order), stored; ``PART`` numbers the ranges.
 
+    ``partitions`` is left to the session (and to adaptive coalescing), unless given. Only the job's result depends on where
+    the ranges lie: nothing does.
+    """
+    by = [F.col(c) for c in (*keys, *order)]
+    ranged = df.repartitionByRange(*by) if partitions is None else df.repartitionByRange(partitions, *by)
+    path = work_dir(df.sparkSession, "ranges")
+    ranged.withColumn(PART, F.spark_partition_id()).write.parquet(path)
+    return df.sparkSession.read.schema(df.withColumn(PART, F.lit(0)).schema).parquet(path)
 
-def with_slice(df: DataFrame, cuts: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Add the slice number; NULL for groups that have no cut points.
 
-    Both lookups broadcast tables bounded by ``MAX_SLICES``. Blocks of slices are found first, so a
-    row is compared with some hundreds of intervals at most.
-    """
-    fine = cuts.withColumn(_BLOCK, F.floor(F.col(SLICE) / SLICES_PER_BLOCK))
-    coarse = fine.groupBy(*keys, _BLOCK).agg(
-        F.min_by("lo", SLICE).alias("lo"), F.max_by("hi", SLICE).alias("hi")
-    )
-    rows = df.withColumn(_POS, F.struct(*order))
-    rows = rows.join(F.broadcast(_renamed(coarse, keys)), _same(keys) & _inside(), "left").select(
-        *df.columns, _POS, _BLOCK
-    )
-    rows = rows.join(
-        F.broadcast(_renamed(fine, [*keys, _BLOCK])), _same([*keys, _BLOCK]) & _inside(), "left"
-    )
-    return rows.select(*df.columns, SLICE)
+def cut_groups(ranged: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of the groups that lie in several ranges: fewer than ranges, so safe to broadcast."""
+    return ranged.groupBy(*keys).agg(F.min(PART).alias("first"), F.max(PART).alias("last")).filter("first < last").select(*keys, F.lit(True).alias("__cut"))
+
 
+def with_part(df: DataFrame, keys: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
+    """Stored rows with the part of their group; NULL for groups in one piece."""
+    ranged = stored_in_ranges(df, keys, order, partitions)
+    cut = F.broadcast(_renamed(cut_groups(ranged, keys), keys))
+    rows = ranged.join(cut, _same(keys), "left")
+    return rows.select(*df.columns, F.when(F.col("__cut"), F.col(PART)).alias(PART))
 
-def _border_copies(sliced: DataFrame, keys: list[str], order: list[str], before: int, after: int) -> DataFrame:
-    """Rows that a neighbouring slice's frame reaches, tagged with that slice.
 
-    Only border rows of cut groups take part, at most slices x (before + after). The row_number filters
-    run before the shuffle as well (WindowGroupLimit), so a slice never travels for its border.
+def _border_copies(parts: DataFrame, keys: list[str], order: list[str], before: int, after: int) -> DataFrame:
+    """Rows that a neighbouring part's frame reaches, tagged with that part.
+
+    Only border rows of cut groups take part, at most parts x (before + after). The row_number filters
+    run before the shuffle as well (WindowGroupLimit), so a part never travels for its border.
     """
-    cut = sliced.filter(F.col(SLICE).isNotNull())
-    parts = []
+    cut = parts.filter(F.col(PART).isNotNull())
+    copies = []
     for reach, ahead in ((before, False), (after, True)):
         if not reach:
             continue
         inward = [F.asc(c) if ahead else F.desc(c) for c in order]
         border = cut.withColumn(
-            _NUM, F.row_number().over(W.partitionBy(*keys, SLICE).orderBy(*inward))
+            _NUM, F.row_number().over(W.partitionBy(*keys, PART).orderBy(*inward))
         ).filter(F.col(_NUM) <= reach)
-        # Number the border rows of a group so that a slice's own rows come right after the rows it needs.
+        # Number the border rows of a group so that a part's own rows come right after the rows it needs.
         outward = [F.desc(c) if ahead else F.asc(c) for c in order]
         border = border.withColumn(_NUM, F.row_number().over(W.partitionBy(*keys).orderBy(*outward)))
         first = F.col("first")
         needs = (
-            border.groupBy(*keys, SLICE)
+            border.groupBy(*keys, PART)
             .agg(F.min(_NUM).alias("first"))
-            .select(*keys, F.col(SLICE).alias("__to"), F.explode(F.sequence(first - reach, first - 1)).alias("__need"))
+            .select(*keys, F.col(PART).alias("__to"), F.explode(F.sequence(first - reach, first - 1)).alias("__need"))
             .filter("__need > 0")
         )
         found = border.join(_renamed(needs, keys), _same(keys) & (F.col(_NUM) == F.col("__need")))
-        parts.append(found.withColumn(SLICE, F.col("__to")).select(*sliced.columns))
-    return reduce(DataFrame.unionByName, parts)
+        copies.append(found.withColumn(PART, F.col("__to")).select(*parts.columns))
+    return reduce(DataFrame.unionByName, copies)
 
 
-def over_slices(
+def over_parts(
     df: DataFrame,
     keys: list[str],
     order: list[str],
@@ -142,69 +103,56 @@ def over_slices(
     *,
     before: int = 0,
     after: int = 0,
-    sized_by: DataFrame | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add window ``columns`` whose frames reach at most ``before`` rows back and ``after`` rows ahead.
 
     ``columns`` maps a name to a function of the window specification; later ones may use earlier ones.
-    ``sized_by`` is a cheaper frame with the same keys and order, used to place the cut points.
     """
-    cuts = slice_cuts(df if sized_by is None else sized_by, keys, order, rows_per_slice)
-    if cuts is None:
-        return _add(df, columns, W.partitionBy(*keys).orderBy(*order))
-    sliced = with_slice(df, cuts, keys, order)
-    copies = _border_copies(sliced, keys, order, before, after)
-    rows = sliced.withColumn(_COPY, F.lit(False)).unionByName(copies.withColumn(_COPY, F.lit(True)))
-    rows = _add(rows, columns, W.partitionBy(*keys, SLICE).orderBy(*order))
-    return rows.filter(~F.col(_COPY)).drop(SLICE, _COPY)
-
-
-def _add(df: DataFrame, columns: dict[str, Callable[[WindowSpec], Column]], window: WindowSpec) -> DataFrame:
+    parts = with_part(df, keys, order, partitions)
+    copies = _border_copies(parts, keys, order, before, after)
+    rows = parts.withColumn(_COPY, F.lit(False)).unionByName(copies.withColumn(_COPY, F.lit(True)))
+    window = W.partitionBy(*keys, PART).orderBy(*order)
     for name, column in columns.items():
-        df = df.withColumn(name, column(window))
-    return df
+        rows = rows.withColumn(name, column(window))
+    return rows.filter(~F.col(_COPY)).drop(PART, _COPY)
 
 
-def rows_since(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    event: str,
-    name: str,
-    *,
-    sized_by: DataFrame | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
+def rows_since(df: DataFrame, keys: list[str], order: list[str], event: str, name: str, *, partitions: int | None = None) -> DataFrame:
     """Add the number of rows since the last earlier row of the group where ``event`` is true.
 
     1 right after such a row, NULL before the first one. The frame is unbounded, so a cut group carries
-    two numbers per slice forward (rows so far, last position) instead of copied rows.
+    two numbers per part forward (rows so far, last position) instead of copied rows.
     """
-    cuts = slice_cuts(df if sized_by is None else sized_by, keys, order, rows_per_slice)
-    if cuts is None:
-        sliced, parts = df, keys
-    else:
-        sliced, parts = with_slice(df, cuts, keys, order), [*keys, SLICE]
-    window = W.partitionBy(*parts).orderBy(*order)
+    parts = with_part(df, keys, order, partitions)
+    window = W.partitionBy(*keys, PART).orderBy(*order)
     mark = F.when(F.col(event), F.col(_NUM))
-    numbered = sliced.withColumn(_NUM, F.row_number().over(window).cast("bigint")).withColumn(
+    numbered = parts.withColumn(_NUM, F.row_number().over(window).cast("bigint")).withColumn(
         "__last", F.max(mark).over(window.rowsBetween(W.unboundedPreceding, -1))
     )
-    if cuts is None:
-        return numbered.withColumn(name, F.col(_NUM) - F.col("__last")).drop(_NUM, "__last")
-    # One row per slice of a cut group: bounded by MAX_SLICES.
-    earlier = W.partitionBy(*keys).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
+    # One row per part of a cut group: fewer than twice the ranges.
+    earlier = W.partitionBy(*keys).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
     totals = (
-        numbered.filter(F.col(SLICE).isNotNull())
-        .groupBy(*keys, SLICE)
+        numbered.filter(F.col(PART).isNotNull())
+        .groupBy(*keys, PART)
         .agg(F.count("*").alias("rows"), F.max(mark).alias("last"))
         .withColumn("start", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
         .withColumn("carried", F.max(F.col("start") + F.col("last")).over(earlier))
-        .select(*keys, F.col(SLICE).alias("__to"), "start", "carried")
-    )
-    match = _same(keys) & (F.col(SLICE) == F.col("__to"))
-    since = F.coalesce(
-        F.col(_NUM) - F.col("__last"), F.col("start") + F.col(_NUM) - F.col("carried")
+        .select(*keys, F.col(PART).alias("__to"), "start", "carried")
     )
+    match = _same(keys) & (F.col(PART) == F.col("__to"))
+    since = F.coalesce(F.col(_NUM) - F.col("__last"), F.col("start") + F.col(_NUM) - F.col("carried"))
     return numbered.join(F.broadcast(_renamed(totals, keys)), match, "left").withColumn(name, since).select(*df.columns, name)
+
+
+def numbered_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Add the place of each row (from 1) in the order of the whole table, without a single-task sort."""
+    path = work_dir(df.sparkSession, "numbered")
+    df.repartitionByRange(*order).withColumn(PART, F.spark_partition_id()).write.parquet(path)
+    ranged = df.sparkSession.read.schema(df.withColumn(PART, F.lit(0)).schema).parquet(path)
+    # One row per range meets in one task.
+    lower = W.orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
+    starts = ranged.groupBy(PART).agg(F.count("*").alias("rows")).select(F.col(PART).alias("__to"), F.coalesce(F.sum("rows").over(lower), F.lit(0)).alias("start"))
+    inside = F.row_number().over(W.partitionBy(PART).orderBy(*order))
+    rows = ranged.withColumn(_NUM, inside).join(F.broadcast(starts), F.col(PART) == F.col("__to"))
+    return rows.withColumn(name, F.col(_NUM) + F.col("start")).select(*df.columns, name)

@@ -3,44 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-DIGITS = 6
-BUCKETS_PER_UNIT = 100
-
-
-def _ranked_values(df: DataFrame, metric: str, name: str) -> DataFrame:
-    """(metric value, rank) over the distinct rounded values of ``df``."""
-    value, bucket = F.col(f"__{metric}"), F.col("__bucket")
-    values = (
-        df.select(F.round(metric, DIGITS).alias(f"__{metric}"))
-        .distinct()
-        .withColumn("__bucket", F.floor(value * BUCKETS_PER_UNIT))
-    )
-    inside = W.partitionBy("__bucket").orderBy(value.desc_nulls_last())
-    ranked = values.withColumn("__rank", F.row_number().over(inside))
-    higher = W.orderBy(bucket.desc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        values.groupBy("__bucket")
-        .agg(F.count("*").alias("n"))
-        .select(bucket.alias("__offset_bucket"), F.coalesce(F.sum("n").over(higher), F.lit(0)).alias("__offset"))
-    )
-    return ranked.join(offsets, bucket.eqNullSafe(F.col("__offset_bucket"))).select(
-        value, (F.col("__rank") + F.col("__offset")).alias(name)
-    )
+from snapline.operators.ordered import numbered_rows
+from snapline.session import work_dir
 
 
 def dense_ranks_desc(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
-    """Add the dense rank of each metric (rounded to 6 digits), largest first, NULL last.
+    """Add the dense rank of each metric, largest first, NULL last. Values are compared exactly.
 
-    ``ranks`` maps a metric to the name of its rank. Equal values are folded first, so a value that many
-    rows share costs one row. Distinct values are ranked inside fixed buckets of 1/100 (at most 10,000
-    rounded values each); the bucket totals, one row per bucket of the value range, are the only data
-    that meets in one task. ``df`` is read once per metric besides the result: pass a stored table.
+    ``ranks`` maps a metric to the name of its rank. ``df`` is computed once and stored. Equal values are folded first, so a
+    value that many rows share costs one row; the distinct values are numbered range by range and joined back.
     """
-    ranked = df
+    path = work_dir(df.sparkSession, "ranked")
+    df.write.parquet(path)
+    ranked = stored = df.sparkSession.read.schema(df.schema).parquet(path)
     for metric, name in ranks.items():
-        values = _ranked_values(df, metric, name)
-        ranked = ranked.join(values, F.round(metric, DIGITS).eqNullSafe(F.col(f"__{metric}")), "left").drop(f"__{metric}")
+        value = f"__{metric}"
+        # + 0.0 makes -0.0 and 0.0 one value, as comparisons have it.
+        values = stored.select((F.col(metric) + 0.0).alias(value)).distinct()
+        values = numbered_rows(values, [F.col(value).desc_nulls_last()], name)
+        ranked = ranked.join(values, (F.col(metric) + 0.0).eqNullSafe(F.col(value)), "left").drop(value)
     return ranked

@@ -47,27 +47,26 @@ def _nearest_by_grid(receivers: DataFrame, defenders: DataFrame, size: float) ->
 
     Cells start at ``size``, chosen by the largest crowd, and double in size from pass to pass. Whatever lies within one cell width is in the 3 x 3 cells
     around a receiver, so a distance of at most the width is final; the others go on to wider cells.
-    Crowded frames are settled by the small cells, where few players are neighbours. Both sides of a
-    pass are checkpointed, since the next pass reads them again.
+    Crowded frames are settled by the small cells, where few players are neighbours. Receivers without a defender
+    within ``COARSEST_CELL`` (bad coordinates, or no defenders) meet all defenders of their frame in a last pass. Both
+    sides of a pass are checkpointed, since the next pass reads them again.
     """
     spot = [*FRAME_KEY, "x_coord", "y_coord"]
     done: list[DataFrame] = []
     open_ = receivers
     while True:
+        last = size > COARSEST_CELL
         cells = defenders.select(*FRAME_KEY, F.col("x_coord").alias("dx"), F.col("y_coord").alias("dy"), *_cell_of("dx", "dy", size))
-        near = (
-            open_.select("*", *_cell(size))
-            .withColumn("cell", _around())
-            .drop("cx", "cy")
-            .select("*", "cell.*")
-            .join(cells, [*FRAME_KEY, "cx", "cy"], "left")
-        )
+        if last:
+            near = open_.join(cells, FRAME_KEY, "left")
+        else:
+            around = open_.select("*", *_cell(size)).withColumn("cell", _around()).drop("cx", "cy").select("*", "cell.*")
+            near = around.join(cells, [*FRAME_KEY, "cx", "cy"], "left")
         best = (
             near.groupBy(*spot, "receiver_n")
             .agg(F.min(gap(F.col("x_coord"), F.col("y_coord"), F.col("dx"), F.col("dy"))).alias("nearest"))
             .checkpoint()
         )
-        last = size >= COARSEST_CELL
         settled = best.filter(F.col("nearest") <= size) if not last else best
         done.append(settled.select(*spot, "receiver_n", "nearest"))
         if last:

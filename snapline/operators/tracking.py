@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapline.functions.tracking import gap, is_defender, is_receiver, per_second, seconds_between
-from snapline.operators.ordered import ROWS_PER_SLICE, over_slices
+from snapline.operators.ordered import over_parts
 from snapline.operators.quality import flag_tracking
 from snapline.schemas import BRONZE_TRACKING_COLUMNS, PLAY_KEY, PLAYER_KEY
 
@@ -34,7 +34,7 @@ def add_acceleration(df: DataFrame) -> DataFrame:
     return df.withColumn("calculated_acceleration", per_second(change, F.col("time_delta")))
 
 
-def derive_tracking(df: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def derive_tracking(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Per-player motion from the previous frame.
 
     ``prev_speed`` is the previous *final* speed, so a missing measured speed does not void the next
@@ -48,7 +48,7 @@ def derive_tracking(df: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> Data
     prev_distance = gap(F.col("prev_x"), F.col("prev_y"), F.col("__x2"), F.col("__y2"))
     prev_step = seconds_between(F.col("__t2"), F.col("prev_timestamp"))
     prev_final = F.coalesce("__s1", F.when(F.col("prev_timestamp").isNotNull(), per_second(prev_distance, prev_step)))
-    lags = over_slices(
+    lags = over_parts(
         df,
         PLAYER_KEY,
         ["timestamp", "frame_id"],
@@ -62,14 +62,14 @@ def derive_tracking(df: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> Data
             "__t2": lambda w: F.lag("timestamp", 2).over(w),
         },
         before=2,
-        rows_per_slice=rows_per_slice,
+        partitions=partitions,
     )
     return add_acceleration(add_motion(lags.withColumn("prev_speed", prev_final))).drop("__s1", "__x2", "__y2", "__t2")
 
 
-def bronze_tracking(df: DataFrame, strict_speed: bool = False, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def bronze_tracking(df: DataFrame, strict_speed: bool = False, partitions: int | None = None) -> DataFrame:
     """Decoded, stamped tracking -> the valid frames of the bronze table (17 columns)."""
-    derived = derive_tracking(flag_tracking(df, strict_speed), rows_per_slice)
+    derived = derive_tracking(flag_tracking(df, strict_speed), partitions)
     return derived.filter("is_valid").select(*BRONZE_TRACKING_COLUMNS)
 
 

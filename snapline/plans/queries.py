@@ -81,7 +81,7 @@ class Inputs:
     @property
     def daily(self) -> DataFrame:
         whole = self.silver
-        return gold.team_daily_stats(gold.play_effectiveness(whole), gold.win_probability(whole, sized_by=self.plays))
+        return gold.team_daily_stats(gold.play_effectiveness(whole), gold.win_probability(whole))
 
     @property
     def lagging(self) -> DataFrame:
@@ -289,7 +289,7 @@ def weekly_moving_avg(i: Inputs) -> DataFrame:
 
 
 def rolling_features(i: Inputs) -> DataFrame:
-    added = features.add_rolling_features(i.silver, sized_by=i.plays)
+    added = features.add_rolling_features(i.silver)
     return added.select(
         *PLAY_KEY, "rolling_avg_yards", "rolling_success_rate", "rolling_pressure", "turnovers_last_5"
     )
@@ -300,16 +300,16 @@ def plays_since_turnover(i: Inputs) -> DataFrame:
 
 
 def opponent_features(i: Inputs) -> DataFrame:
-    added = features.add_opponent_features(i.silver, sized_by=i.plays)
+    added = features.add_opponent_features(i.silver)
     return added.select(*PLAY_KEY, "opp_avg_yards_allowed", "opp_success_rate_allowed", "opp_pressure_rate")
 
 
 def ml_features(i: Inputs) -> DataFrame:
-    return features.ml_features(i.silver, sized_by=i.plays)
+    return features.ml_features(i.silver)
 
 
 def play_sequences(i: Inputs) -> DataFrame:
-    added = gold.play_sequences(i.bronze, sized_by=i.plays)
+    added = gold.play_sequences(i.bronze)
     return added.select(*PLAY_KEY, "prev_score_diff", "prev_yard_line", "next_score_diff")
 
 

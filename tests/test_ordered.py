@@ -3,11 +3,12 @@
 import random
 
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from compare import spark_rows
 from snapline.operators import features, gold, tracking
-from snapline.operators.ordered import SLICE, over_slices, rows_since, slice_cuts, with_slice
+from snapline.operators.ordered import PART, numbered_rows, over_parts, rows_since, with_part
 
 
 def skewed(spark, rows=3000, seed=3):
@@ -28,73 +29,97 @@ COLUMNS = {
 }
 
 
-@pytest.mark.parametrize("rows_per_slice", [5, 40, 500])
-def test_cut_windows_equal_plain_windows(spark, rows_per_slice):
+def plain(df, keys, order, columns):
+    window = W.partitionBy(*keys).orderBy(*order)
+    return df.withColumns({name: column(window) for name, column in columns.items()})
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 150])
+def test_cut_windows_equal_plain_windows(spark, partitions):
     df = skewed(spark)
-    plain = over_slices(df, ["k"], ["t", "id"], COLUMNS, before=20, after=2)
-    cut = over_slices(df, ["k"], ["t", "id"], COLUMNS, before=20, after=2, rows_per_slice=rows_per_slice)
-    assert spark_rows(cut) == spark_rows(plain)
+    cut = over_parts(df, ["k"], ["t", "id"], COLUMNS, before=20, after=2, partitions=partitions)
+    assert spark_rows(cut) == spark_rows(plain(df, ["k"], ["t", "id"], COLUMNS))
 
 
-def test_slices_shorter_than_the_frame(spark):
-    """Frames may reach over several slices."""
+def test_parts_shorter_than_the_frame(spark):
+    """Frames may reach over several parts."""
     df = skewed(spark, 1200)
     wide = {"sum100": lambda w: F.sum("v").over(w.rowsBetween(-100, 60))}
-    plain = over_slices(df, ["k"], ["t", "id"], wide, before=100, after=60)
-    cut = over_slices(df, ["k"], ["t", "id"], wide, before=100, after=60, rows_per_slice=4)
-    assert spark_rows(cut) == spark_rows(plain)
+    cut = over_parts(df, ["k"], ["t", "id"], wide, before=100, after=60, partitions=150)
+    assert spark_rows(cut) == spark_rows(plain(df, ["k"], ["t", "id"], wide))
 
 
 def test_hot_group_is_cut_and_small_groups_are_not(spark):
     df = skewed(spark)
-    cuts = slice_cuts(df, ["k"], ["t", "id"], 40)
-    sizes = {(r["k"], r[SLICE]): r["count"] for r in with_slice(df, cuts, ["k"], ["t", "id"]).groupBy("k", SLICE).count().collect()}
+    sizes = {(r["k"], r[PART]): r["count"] for r in with_part(df, ["k"], ["t", "id"], 60).groupBy("k", PART).count().collect()}
     hot = [n for (k, _), n in sizes.items() if k == "hot"]
     assert sum(sizes.values()) == 3000
     assert len(hot) > 10 and max(hot) < 300
-    assert sizes[("k1", None)] < 40
+    assert sum(1 for (k, part) in sizes if part is None) > 100
+
+
+def test_repeated_hour_of_a_zone_with_daylight_saving(spark):
+    """Order by TIMESTAMP over the hour that clocks show twice."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        start = 1_730_606_400  # 2024-11-03 04:00 UTC; clocks go back at 06:00 UTC
+        df = spark.range(6000).select(F.lit("g").alias("k"), F.timestamp_seconds(F.lit(start) + F.col("id") * 3).alias("t"), "id", (F.col("id") % 61).alias("v"))
+        cut = over_parts(df, ["k"], ["t", "id"], COLUMNS, before=20, after=2, partitions=40)
+        assert cut.count() == 6000
+        assert spark_rows(cut.drop("t")) == spark_rows(plain(df, ["k"], ["t", "id"], COLUMNS).drop("t"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
-def test_lookup_is_broadcast_and_free_of_nested_loops(spark):
+def test_upstream_runs_once(spark):
+    """The plan after storing reads stored rows only, however many groups are cut."""
     df = skewed(spark)
-    cuts = slice_cuts(df, ["k"], ["t", "id"], 40)
-    plan = with_slice(df, cuts, ["k"], ["t", "id"])._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    plan = over_parts(df, ["k"], ["t", "id"], COLUMNS, before=20, after=2, partitions=60)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and "LocalRelation" not in plan
 
 
-def test_rows_since_crosses_slices(spark):
+def test_rows_since_crosses_parts(spark):
     df = skewed(spark)
-    plain = rows_since(df, ["k"], ["t", "id"], "hit", "since")
-    cut = rows_since(df, ["k"], ["t", "id"], "hit", "since", rows_per_slice=20)
-    assert spark_rows(cut) == spark_rows(plain)
-    assert plain.filter("k = 'hot' AND since > 20").count() > 0
+    whole = rows_since(df, ["k"], ["t", "id"], "hit", "since", partitions=1)
+    cut = rows_since(df, ["k"], ["t", "id"], "hit", "since", partitions=100)
+    assert spark_rows(cut) == spark_rows(whole)
+    assert whole.filter("k = 'hot' AND since > 20").count() > 0
 
 
-def test_small_tables_take_the_plain_window(spark):
-    assert slice_cuts(skewed(spark, 300), ["k"], ["t", "id"]) is None
+def test_an_empty_table(spark):
+    df = skewed(spark).limit(0)
+    assert over_parts(df, ["k"], ["t", "id"], COLUMNS, before=20, after=2).count() == 0
+    assert rows_since(df, ["k"], ["t", "id"], "hit", "since").count() == 0
+
+
+def test_numbers_of_a_whole_table(spark):
+    df = skewed(spark)
+    found = [r["n"] for r in numbered_rows(df, [F.col("t").desc(), F.col("id").asc()], "n").orderBy(F.desc("t"), "id").collect()]
+    assert found == list(range(1, 3001))
 
 
 def test_operators_on_cut_groups(inputs):
     bronze = inputs.bronze.withColumn("defensive_pressure_rate", (F.col("yard_line") % 7) / 7)
-    pairs = [
-        (gold.win_probability, {}),
-        (features.add_rolling_features, {}),
-        (features.add_opponent_features, {}),
-        (features.add_plays_since_turnover, {"sized_by": inputs.plays}),
+    operators = [
+        gold.win_probability,
+        features.add_rolling_features,
+        features.add_opponent_features,
+        features.add_plays_since_turnover,
     ]
-    for operator, extra in pairs:
-        assert rounded_rows(operator(bronze, rows_per_slice=30, **extra)) == rounded_rows(operator(bronze)), operator.__name__
+    for operator in operators:
+        assert rounded_rows(operator(bronze, partitions=30)) == rounded_rows(operator(bronze, partitions=1)), operator.__name__
 
 
 def test_tracking_of_one_long_play(spark, inputs):
-    """A player with far more frames than a slice holds."""
+    """A player with far more frames than a part holds."""
     frames = inputs.tracking.select(
         F.lit("G").alias("game_id"), F.lit("P").alias("play_id"), F.lit("X").alias("player_id"),
         "timestamp", (F.col("frame_id") + F.hash("player_id")).alias("frame_id"), "x_coord", "y_coord", "speed",
     ).limit(3000).persist()
-    plain = tracking.derive_tracking(frames)
-    cut = tracking.derive_tracking(frames, rows_per_slice=100)
-    assert rounded_rows(cut) == rounded_rows(plain)
+    whole = tracking.derive_tracking(frames, partitions=1)
+    cut = tracking.derive_tracking(frames, partitions=30)
+    assert rounded_rows(cut) == rounded_rows(whole)
 
 
 def rounded_rows(df):

@@ -65,6 +65,19 @@ def test_far_away_defenders_are_found(spark):
         assert found["P"] == pytest.approx(math.hypot(53, 120)) and found["Q"] is None
 
 
+def test_defenders_beyond_any_cell_are_found(spark):
+    """Bad coordinates: far beyond the field, and negative."""
+    rows = []
+    for play, spots in {"P": [(600.0, 0.0)], "Q": [(511.0, 0.0), (-257.0, 0.0)], "R": [(-3000.0, 4000.0), (1e6, 1e6)]}.items():
+        rows += [("G", play, 2, "a", "WR", 0.0, 0.0, "pass_arrived"), ("G", play, 2, "c", "TE", -7000.0, 0.0, "pass_arrived")]
+        rows += [("G", play, 2, f"b{i}", "DB", x, y, "pass_arrived") for i, (x, y) in enumerate(spots)]
+    df = spark.createDataFrame(rows, frames(spark, 1).schema)
+    separation, _ = brute_force(df)
+    for limit in (0, 4096):
+        found = {r["play_id"]: round(r["separation_at_catch"], 6) for r in spatial.separation_nearest(df, pairs_per_frame=limit).collect()}
+        assert found == separation, limit
+
+
 def test_daily_stats_count_copies_as_a_join_would(inputs, spark):
     silver = inputs.silver.persist()
     effectiveness = gold.play_effectiveness(silver)
@@ -85,10 +98,10 @@ def test_daily_stats_count_copies_as_a_join_would(inputs, spark):
 
 def test_dense_rank_equals_a_whole_table_window(spark):
     rng = random.Random(2)
-    values = [None, -0.0, 0.0, 1e6, -3.25] + [round(rng.uniform(-20, 80), rng.choice([0, 1, 6])) for _ in range(2000)] + [4.5] * 900
+    values = [None, -0.0, 0.0, 1e6, -3.25, 0.5000001, 0.5000004] + [round(rng.uniform(-20, 80), rng.choice([0, 1, 6])) for _ in range(2000)] + [4.5] * 900
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v double")
     df.createOrReplaceTempView("rank_input")
-    expected = spark.sql("SELECT id, v, CAST(dense_rank() OVER (ORDER BY round(v, 6) DESC) AS BIGINT) AS r FROM rank_input")
+    expected = spark.sql("SELECT id, v, CAST(dense_rank() OVER (ORDER BY v DESC) AS BIGINT) AS r FROM rank_input")
     assert spark_rows(ranks.dense_ranks_desc(df, {"v": "r"})) == spark_rows(expected)
 
 
