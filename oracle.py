@@ -140,6 +140,7 @@ MEASURE_NAMES = [
 SILVER = f"""
 SELECT b.*, {", ".join("m." + c for c in MEASURE_NAMES)}, {WP_COLUMNS}
 FROM bronze b LEFT JOIN measures m ON b.game_id = m.game_id AND b.play_id = m.play_id
+WHERE b.is_valid
 """
 
 EXPECTED = """CASE WHEN play_type = 'run' THEN CAST(4.2 AS DOUBLE) WHEN play_type = 'pass' AND down = 1 THEN CAST(7.5 AS DOUBLE)
@@ -158,12 +159,12 @@ FROM silver
 SEQUENCES = """
 SELECT *, lag(score_differential) OVER w AS prev_score_diff, lag(yard_line) OVER w AS prev_yard_line,
   lead(score_differential) OVER w AS next_score_diff
-FROM bronze WINDOW w AS (PARTITION BY game_id ORDER BY event_timestamp, play_id)
+FROM bronze WHERE is_valid WINDOW w AS (PARTITION BY game_id ORDER BY event_timestamp, play_id)
 """
 
 WIN_PROBABILITY = """
 SELECT game_id, play_id, game_date, possession_team, play_type, before AS win_probability_before, after AS win_probability_after,
-  after - before AS win_prob_added, play_success, yards_gained, game_situation
+  after - before AS win_prob_added, play_success, yards_gained, game_situation, quarter
 FROM (
   SELECT *, CAST(event_timestamp AS DATE) AS game_date,
     1 / (1 + exp(-(CAST(0.02 AS DOUBLE) * score_differential + CAST(0.01 AS DOUBLE) * (100 - yard_line)
@@ -551,7 +552,7 @@ def _texts() -> dict[str, tuple[list[str], str]]:
         "wpa_by_play_type": (
             ["win_prob"],
             """SELECT play_type, round(avg(win_prob_added), 6) + 0.0 AS avg_wpa, count(*) AS play_count
-            FROM win_prob GROUP BY play_type ORDER BY avg(win_prob_added) DESC, play_type""",
+            FROM win_prob WHERE quarter <= 4 AND game_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31' GROUP BY play_type ORDER BY avg(win_prob_added) DESC, play_type""",
         ),
         "top_pressure": (
             ["plays", "pressure"],

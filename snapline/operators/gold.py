@@ -67,9 +67,9 @@ def play_sequences(
 
 
 def win_probability(
-    silver: DataFrame, *, partitions: int | None = None
+    silver: DataFrame, *, quarter: bool = False, partitions: int | None = None
 ) -> DataFrame:
-    """Win probability before and after each play, and what the play added."""
+    """Win probability before and after each play, and what the play added; on request with the quarter."""
     rows = play_sequences(silver, partitions=partitions)
     return (
         rows.withColumn("win_probability_before", p.win_probability_before())
@@ -85,6 +85,7 @@ def win_probability(
             "play_success",
             "yards_gained",
             "game_situation",
+            *(["quarter"] if quarter else []),
         )
     )
 
@@ -150,10 +151,18 @@ def team_daily_stats(effectiveness: DataFrame, wp: DataFrame, as_of: dt.date | N
     )
 
 
-def wpa_by_play_type(wp: DataFrame) -> DataFrame:
-    """Mean win probability added per play type, best first."""
+def wpa_by_play_type(wp: DataFrame, start: dt.date | None = None, end: dt.date | None = None, last_quarter: int = 4) -> DataFrame:
+    """Mean win probability added per play type, best first: regular time of the days from ``start`` to ``end``.
+
+    ``wp`` carries ``quarter``.
+    """
+    plays = wp.filter(F.col("quarter") <= last_quarter)
+    if start is not None:
+        plays = plays.filter(F.col("game_date") >= F.lit(start))
+    if end is not None:
+        plays = plays.filter(F.col("game_date") <= F.lit(end))
     return (
-        wp.groupBy("play_type")
+        plays.groupBy("play_type")
         .agg(F.avg("win_prob_added").alias("avg_wpa"), F.count("*").alias("play_count"))
         .orderBy(F.desc("avg_wpa"), "play_type")
     )

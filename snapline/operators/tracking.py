@@ -34,8 +34,8 @@ def add_acceleration(df: DataFrame) -> DataFrame:
     return df.withColumn("calculated_acceleration", per_second(change, F.col("time_delta")))
 
 
-def derive_tracking(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Per-player motion from the previous frame.
+def derive_tracking(df: DataFrame, partitions: int | None = None, gap_seconds: float | None = None) -> DataFrame:
+    """Per-player motion from the previous frame; after more than ``gap_seconds`` (off by default) it starts afresh.
 
     ``prev_speed`` is the previous *final* speed, so a missing measured speed does not void the next
     acceleration. It needs the frame before the previous one, hence two rows of reach; both window steps
@@ -64,7 +64,13 @@ def derive_tracking(df: DataFrame, partitions: int | None = None) -> DataFrame:
         before=2,
         partitions=partitions,
     )
-    return add_acceleration(add_motion(lags.withColumn("prev_speed", prev_final))).drop("__s1", "__x2", "__y2", "__t2")
+    if gap_seconds is not None:
+        prev_final = F.coalesce("__s1", F.when(prev_step <= gap_seconds, per_second(prev_distance, prev_step)).otherwise(0.0))
+    lags = lags.withColumn("prev_speed", prev_final)
+    if gap_seconds is not None:
+        near = seconds_between(F.col("prev_timestamp"), F.col("timestamp")) <= gap_seconds
+        lags = lags.withColumns({c: F.when(near, F.col(c)) for c in ("prev_x", "prev_y", "prev_speed", "prev_timestamp")})
+    return add_acceleration(add_motion(lags)).drop("__s1", "__x2", "__y2", "__t2")
 
 
 def bronze_tracking(df: DataFrame, strict_speed: bool = False, partitions: int | None = None) -> DataFrame:
@@ -134,7 +140,7 @@ def team_partials(tracking: DataFrame, *slices: Column) -> DataFrame:
         F.sum(F.when(arrived, distance)).alias("arrived_sum"),
         F.count(F.when(arrived, distance)).alias("arrived_n"),
         F.count_if(passing & is_defender() & (distance < 2)).alias("pressing_n"),
-        F.count_if(passing).alias("pass_n"),
+        F.count_if(passing & F.col("player_id").isNotNull()).alias("pass_n"),
     )
 
 

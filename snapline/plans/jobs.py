@@ -9,6 +9,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,7 +18,7 @@ from snapline.schemas import BRONZE_PLAY_SCHEMA, BRONZE_TRACKING_SCHEMA, CLUSTER
 from snapline.sources import tables
 from snapline.sources.messages import table_stream
 from snapline.streaming import bronze
-from snapline.streaming.silver import silver_stream
+from snapline.streaming.silver import far_frames, silver_stream
 
 
 @dataclass(frozen=True)
@@ -47,15 +48,19 @@ def run_bronze_tracking(messages: DataFrame, layout: Layout, interval: str | Non
 
 
 def run_silver(spark: SparkSession, layout: Layout, interval: str | None = "10 seconds", delay: str = "10 minutes") -> list[StreamingQuery]:
-    """Deduplicated plays joined to tracking, from the bronze tables as they grow."""
+    """Deduplicated plays joined to tracking, from the bronze tables as they grow; frames far from any play go apart."""
     preflight(spark, layout, ["bronze_plays", "bronze_tracking"])
     day = T.StructField(tables.PARTITION, T.DateType())
     plays_schema = T.StructType([*BRONZE_PLAY_SCHEMA.fields, day, T.StructField(bronze.BATCH, T.LongType())])
     tracking_schema = T.StructType([*BRONZE_TRACKING_SCHEMA.fields, day])
     plays = table_stream(spark, layout.path("bronze_plays"), plays_schema).drop(tables.PARTITION, bronze.BATCH)
     frames = table_stream(spark, layout.path("bronze_tracking"), tracking_schema).drop(tables.PARTITION)
-    rows = silver_stream(plays, frames, delay, dedup=True)
-    return [bronze.start_append(rows, layout.path("silver_plays_enriched"), layout.checkpoints, interval)]
+    rows = silver_stream(plays, frames, delay)
+    far = far_frames(plays, frames, delay)
+    return [
+        bronze.start_append(rows, layout.path("silver_plays_enriched"), layout.checkpoints, interval),
+        bronze.start_append(far, layout.path("silver_frames_apart"), layout.checkpoints, interval, "tracked_at"),
+    ]
 
 
 def read_silver(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -66,23 +71,28 @@ def read_silver(spark: SparkSession, layout: Layout) -> DataFrame:
 def run_history(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date) -> dict[str, int]:
     """Game and week aggregates of a date range; returns rows written.
 
-    Silver is read twice rather than cached: each reading takes only its own few columns. The game
-    aggregates are stored before they are ranked, since ranking reads them several times.
+    Silver is read twice rather than cached: each reading takes only its own few columns. Games lie in folders by their first
+    day in the range and weeks by their Monday; folders of other days keep what they hold. Give whole games and weeks.
     """
     silver = tables.scan_date_range(read_silver(spark, layout), start, end)
-    unranked = f"{layout.checkpoints}/game_aggregates"
-    tables.write_table(history.game_aggregates(silver), unranked)
-    games = history.team_rankings(tables.read_table(spark, unranked))
+    games = history.team_rankings(history.game_aggregates(silver))
+    days = silver.groupBy("game_id").agg(F.min(F.to_date("event_timestamp")).alias(tables.PARTITION))
+    games = games.join(days, "game_id")
     weeks = history.moving_averages(history.weekly_aggregates(silver))
     return {
-        "gold_game_aggregates": tables.write_table(games, layout.path("gold_game_aggregates")),
-        "gold_weekly_aggregates": tables.write_table(weeks, layout.path("gold_weekly_aggregates")),
+        "gold_game_aggregates": tables.write_days(games, layout.path("gold_game_aggregates"), tables.PARTITION, ["game_id"]),
+        "gold_weekly_aggregates": tables.write_days(weeks, layout.path("gold_weekly_aggregates"), "week_start", ["possession_team"]),
     }
 
 
-def run_features(spark: SparkSession, layout: Layout, as_of: dt.date, lookback: int = 30) -> int:
+def run_features(spark: SparkSession, layout: Layout, as_of: dt.date, lookback: int = 30, days: int = 1) -> int:
+    """Features of the ``days`` days before ``as_of``; the days before these, back to ``lookback``, only fill their windows.
+
+    A day is written by the run that has its windows whole, so later runs leave it as it is.
+    """
     silver = tables.scan_lookback(read_silver(spark, layout), as_of, lookback)
-    rows = tables.with_event_date(features.ml_features(silver))
+    silver = tables.scan_date_range(silver, as_of - dt.timedelta(days=lookback), as_of - dt.timedelta(days=1))
+    rows = tables.with_event_date(features.ml_features(silver)).filter(F.col(tables.PARTITION) >= F.lit(as_of - dt.timedelta(days=days)))
     return tables.write_days(rows, layout.path("gold_ml_features"), tables.PARTITION, ["game_id"])
 
 

@@ -61,6 +61,11 @@ class Inputs:
     def bronze(self) -> DataFrame:
         return plays.bronze_plays(self.plays)
 
+    @property
+    def valid_plays(self) -> DataFrame:
+        """The plays that reach the bronze table; the others are dead letters."""
+        return self.bronze.filter("is_valid")
+
     @property
     def motion(self) -> DataFrame:
         return tracking.derive_tracking(quality.flag_tracking(self.tracking))
@@ -72,16 +77,16 @@ class Inputs:
 
     @property
     def silver(self) -> DataFrame:
-        return silver.silver_plays(self.bronze, self.bronze_tracking)
+        return silver.silver_plays(self.valid_plays, self.bronze_tracking)
 
     @property
     def win_probability(self) -> DataFrame:
-        return gold.win_probability(self.bronze)
+        return gold.win_probability(self.valid_plays)
 
     @property
     def daily(self) -> DataFrame:
-        whole = self.silver
-        return gold.team_daily_stats(gold.play_effectiveness(whole), gold.win_probability(whole))
+        # Win probability needs columns of the plays alone, so the tracking is aggregated once.
+        return gold.team_daily_stats(gold.play_effectiveness(self.silver), self.win_probability)
 
     @property
     def lagging(self) -> DataFrame:
@@ -277,7 +282,7 @@ def game_aggregates(i: Inputs) -> DataFrame:
 
 
 def team_rankings(i: Inputs) -> DataFrame:
-    return history.team_rankings(history.game_aggregates(i.silver))
+    return history.team_rankings(rounded(history.game_aggregates(i.silver)))
 
 
 def weekly_aggregates(i: Inputs) -> DataFrame:
@@ -309,7 +314,7 @@ def ml_features(i: Inputs) -> DataFrame:
 
 
 def play_sequences(i: Inputs) -> DataFrame:
-    added = gold.play_sequences(i.bronze)
+    added = gold.play_sequences(i.valid_plays)
     return added.select(*PLAY_KEY, "prev_score_diff", "prev_yard_line", "next_score_diff")
 
 
@@ -330,7 +335,7 @@ def team_daily_stats(i: Inputs) -> DataFrame:
 
 
 def wpa_by_play_type(i: Inputs) -> DataFrame:
-    return gold.wpa_by_play_type(i.win_probability)
+    return gold.wpa_by_play_type(gold.win_probability(i.valid_plays, quarter=True), dt.date(2024, 1, 1), AS_OF)
 
 
 def top_pressure(i: Inputs) -> DataFrame:

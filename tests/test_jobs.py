@@ -50,18 +50,30 @@ def test_history(spark, layout):
     written = jobs.run_history(spark, layout, dt.date(2024, 1, 8), dt.date(2024, 1, 21))
     silver = jobs.read_silver(spark, layout).filter(F.col("event_date").between("2024-01-08", "2024-01-21"))
     expected = history.team_rankings(history.game_aggregates(silver))
-    found = spark.read.parquet(layout.path("gold_game_aggregates"))
+    other = jobs.run_history(spark, layout, dt.date(2024, 1, 22), dt.date(2024, 1, 28))
+    stored = spark.read.parquet(layout.path("gold_game_aggregates"))
+    assert stored.count() == written["gold_game_aggregates"] + other["gold_game_aggregates"]
+    assert spark.read.parquet(layout.path("gold_weekly_aggregates")).count() == written["gold_weekly_aggregates"] + other["gold_weekly_aggregates"]
+    found = stored.filter("event_date <= '2024-01-21'").drop("event_date")
     assert written["gold_game_aggregates"] == found.count()
     assert spark_rows(rounded(found)) == spark_rows(rounded(expected))
-    assert written["gold_weekly_aggregates"] == spark.read.parquet(layout.path("gold_weekly_aggregates")).count()
 
 
 def test_features(spark, layout):
-    rows = jobs.run_features(spark, layout, AS_OF, 10)
-    found = spark.read.parquet(layout.path("gold_ml_features")).drop("event_date")
-    silver = jobs.read_silver(spark, layout).filter(F.col("event_date") >= "2024-01-21")
-    assert rows == found.count() and len(found.columns) == 35
-    assert spark_rows(rounded(found)) == spark_rows(rounded(features.ml_features(silver).select(*found.columns)))
+    rows = jobs.run_features(spark, layout, AS_OF - dt.timedelta(days=1), 10)
+    stored = layout.path("gold_ml_features")
+    found = spark.read.parquet(stored)
+    silver = jobs.read_silver(spark, layout).filter(F.col("event_date").between("2024-01-20", "2024-01-29"))
+    assert rows == found.count() > 0 and len(found.columns) == 36
+    expected = features.ml_features(silver).filter(F.to_date("event_timestamp") == "2024-01-29")
+    columns = [c for c in found.columns if c != "event_date"]
+    before = spark_rows(rounded(found.select(*columns)))
+    assert before == spark_rows(rounded(expected.select(*columns)))
+    # The next day's run leaves the day as it is.
+    jobs.run_features(spark, layout, AS_OF, 10)
+    found = spark.read.parquet(stored)
+    assert found.select("event_date").distinct().count() == 2
+    assert spark_rows(rounded(found.filter("event_date = '2024-01-29'").select(*columns))) == before
 
 
 def test_gold_keeps_other_days(spark, layout):

@@ -13,7 +13,7 @@ from snapline.plans.queries import rounded
 from snapline.schemas import BRONZE_PLAY_SCHEMA
 from snapline.sources.messages import table_stream, text_messages
 from snapline.streaming import bronze
-from snapline.streaming.silver import dedup_stream, silver_stream
+from snapline.streaming.silver import dedup_stream, far_frames, silver_stream
 from snapline.streaming.tracking import derive_tracking_stream
 
 T0 = dt.datetime(2024, 1, 1, 12, 0, 0)
@@ -55,7 +55,7 @@ def test_motion_over_files_out_of_order(spark, tmp_path):
     ]
     stream = in_files(spark, tmp_path / "in", batches, FRAME)
     found = run(derive_tracking_stream(stream), tmp_path, "timestamp")
-    whole = spark.createDataFrame(sum(batches[:3], []), FRAME).distinct()
+    whole = spark.createDataFrame(sum(batches[:3], []), FRAME)
     expected = tracking.derive_tracking(whole).select(*found.columns)
     assert spark_rows(rounded(found)) == spark_rows(rounded(expected))
 
@@ -64,6 +64,8 @@ def test_motion_starts_afresh_after_a_gap(spark, tmp_path):
     batches = [[frame("P", "a", 0, 0, 0.0), frame("P", "a", 20, 1, 1.0), frame("P", "a", 51, 2, 2.0)], CLOSING_FRAME]
     found = run(derive_tracking_stream(in_files(spark, tmp_path / "in", batches, FRAME)), tmp_path, "timestamp")
     assert {r["frame_id"]: r["prev_x"] for r in found.collect()} == {0: None, 1: 0.0, 2: None}
+    batch = tracking.derive_tracking(spark.createDataFrame(batches[0], FRAME), gap_seconds=30)
+    assert spark_rows(rounded(found)) == spark_rows(rounded(batch.select(*found.columns)))
 
 
 def test_late_frames_are_dropped(spark, tmp_path):
@@ -118,6 +120,26 @@ def test_silver_matched_unmatched_and_split_over_files(spark, tmp_path):
     assert by_play["P1"]["qb_max_speed"] == 8.0
 
 
+def test_frames_around_the_start_of_a_play(spark, tmp_path):
+    """A play at 12:00:30; frames before it, after it, at the reach and beyond it."""
+    columns = "game_id string, play_id string, player_id string, timestamp timestamp, frame_id int, team string, position string, final_speed double, calculated_acceleration double, distance_traveled double, event string"
+    seconds = [-31, -29, 1, -30 * 60, 30 * 60, -40 * 60, 40 * 60]
+    tracks = [("G", "P", "q", at(30 + s), i, "A", "QB", 1.0, 0.0, 2.0**i, "pass") for i, s in enumerate(seconds)]
+    closing = ("G", "END", "q", at(200_000), 0, "A", "QB", 1.0, 0.0, 1.0, "pass")
+    rows = [[one_play("P", 30)], [one_play("END", 200_000)]]
+    schema = spark.createDataFrame([], BRONZE_PLAY_SCHEMA).schema
+
+    def streams(name):
+        return in_files(spark, tmp_path / f"{name}-plays", rows, schema), in_files(spark, tmp_path / f"{name}-tracks", [tracks, [closing]], columns)
+
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    found = run(silver_stream(*streams("a")), tmp_path / "a").filter("play_id = 'P'").first()
+    assert found["offense_total_distance"] == 1 + 2 + 4 + 8 + 16
+    apart = run(far_frames(*streams("b")), tmp_path / "b", "tracked_at").filter("play_id = 'P'")
+    assert apart.agg(F.sum("distance_sum")).first()[0] == 32 + 64
+
+
 @pytest.fixture
 def messages(spark, inputs, tmp_path):
     """Some hundred plays as text files, with a malformed line, a row without a key and a copy."""
@@ -158,12 +180,22 @@ def test_a_replayed_batch_overwrites_itself(spark, inputs, tmp_path):
 def test_bronze_tracking_and_dead_letters(spark, inputs, tmp_path):
     folder = tmp_path / "messages"
     frames = inputs.tracking.filter(F.col("game_id") == "G3")
-    derived.as_messages(frames).coalesce(2).write.text(str(folder))
+    good = quality.flag_tracking(frames).filter("is_valid").limit(1).drop(*[c for c in quality.flag_tracking(frames).columns if c not in frames.columns]).persist()
+    odd = [good.withColumn("team", F.lit(None).cast("string")), good.withColumn("player_id", F.lit(None).cast("string")), good, good]
+    sent = frames
+    for rows in odd:  # without a team, without a player, and two copies
+        sent = sent.unionByName(rows)
+    derived.as_messages(sent).coalesce(2).write.text(str(folder))
     root = f"{tmp_path}/root"
-    bronze.wait_all(spark, bronze.start_bronze_tracking(text_messages(spark, str(folder)), root, f"{tmp_path}/checkpoint", None))
+    started = bronze.start_bronze_tracking(text_messages(spark, str(folder)), root, f"{tmp_path}/checkpoint", None)
+    bronze.wait_all(spark, started)
     letters = spark.read.parquet(f"{root}/bronze_tracking_dlq")
+    kept = spark.read.parquet(f"{root}/tracking_frames")
     invalid = quality.flag_tracking(frames).filter("NOT is_valid").count()
-    assert letters.count() == invalid > 0
+    assert letters.count() == invalid + 2 > 2
+    assert kept.filter("is_accepted").count() + letters.count() == frames.count() + 4
+    assert spark.read.parquet(f"{root}/bronze_tracking").filter("team IS NULL OR player_id IS NULL").isEmpty()
+    assert {p["query"] for p in bronze.progress(started)} == {"tracking_frames", "bronze_tracking"}
 
 
 def test_a_failing_query_is_raised(spark, tmp_path):
