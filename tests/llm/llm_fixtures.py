@@ -1,4 +1,7 @@
+"""Fixtures of these tests; a second conftest would hide the first one's names."""
+
 import pytest
+from pyspark.sql import functions as F
 
 from snapline.llm.common import importable
 
@@ -8,6 +11,7 @@ def workers_can_import(spark):
     importable(spark)
 
 
+SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -31,7 +35,5 @@ def odd_docs(spark):
         (11, "one", "en", "b", 5),
     ]
     df = spark.createDataFrame(rows, DOCS)
-    from pyspark.sql import functions as F
-
     clash = ["size", "draw", "target", "reps", "cls", "component", "words", "hits", "items", "doc", "score", "_row", "label", "shard", "_text", "step", "rows"]
     return df.select("*", *[F.lit(i).alias(c) for i, c in enumerate(clash)])

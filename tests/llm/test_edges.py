@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from llm_fixtures import odd_docs, workers_can_import  # noqa: F401
 from snapline.llm import chat, decontamination, language, mixing, neardup, quality, secrets, sharding, toxicity, urls
 
 ITEMS = [(1, "looked at the moon for a long while and the"), (1, "looked at the moon for a long while and the"), (2, "sat on the mat"), (3, None), (4, "!!"), (None, "cat sat")]

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 import compare
 import corpus_pipeline
-from conftest import SMALL
+from llm_fixtures import SMALL, workers_can_import  # noqa: F401
 from snapline.llm import oracle, queries
 
 SQL = oracle.oracle_sql()
