@@ -4,10 +4,12 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+import oracle
 from conftest import SMALL
+from snapline.plans import queries as plans
 
-SQL = entry.oracle_sql()
-QUERIES = entry.queries()
+SQL = oracle.oracle_sql()
+QUERIES = plans.queries()
 
 
 @pytest.fixture(scope="module")
