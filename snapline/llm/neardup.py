@@ -14,6 +14,9 @@ Texts with the same words form a class, and one document stands for it, so exact
 Two sets with similarity 0.85 collide in fewer than 15 of 32 coordinates with probability below 1e-7; that is the only
 way to lose a link. No list, group or number of partners is capped.
 
+Aggregates that are joined back are stored first: then both sides of the join have a shuffle of their own, and the adaptive plan can
+split a hot value, window or component.
+
 Defined results: a text without words, or a missing one, has an empty set and is linked with nothing; repeated rows
 belong to one class; missing ids are ignored when the smallest id of a component is taken (all missing: none); no rows, no
 result. Only ``doc_id`` and ``text`` are read.
@@ -119,7 +122,7 @@ def class_sets(docs: DataFrame) -> DataFrame:
 def prefix_posts(classes: DataFrame) -> DataFrame:
     """(value, cls) of the rarest values of each class that can collide MATCHES times."""
     posts = classes.select("cls", F.explode("sig").alias("value"))
-    lengths = posts.groupBy("value").agg(F.count("*").alias("length")).filter("length > 1")
+    lengths = stored(posts.groupBy("value").agg(F.count("*").alias("length")).filter("length > 1"), "neardup-lengths")
     shared = posts.join(lengths.hint("merge"), "value").groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("length", "value"))).alias("held"))
     prefix = shared.filter(F.size("held") >= MATCHES).select("cls", F.explode(F.slice("held", 1, F.size("held") - MATCHES + 1)).alias("held"))
     return prefix.select("cls", F.col("held.value").alias("value"))
@@ -128,7 +131,7 @@ def prefix_posts(classes: DataFrame) -> DataFrame:
 def comparable(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """cls, n, sig and set of the classes that share a posted value."""
     posts = stored(prefix_posts(classes), "neardup-posts")
-    lists = posts.groupBy("value").agg(F.count("*").alias("length")).filter("length > 1")
+    lists = stored(posts.groupBy("value").agg(F.count("*").alias("length")).filter("length > 1").select("value"), "neardup-lists")
     chosen = posts.join(lists.hint("merge"), "value", "left_semi").select("cls").distinct()
     chosen = classes.join(chosen.hint("merge"), "cls", "left_semi").select("cls", "n", "sig", "id")
     chosen = stored(chosen, "neardup-chosen")
@@ -154,7 +157,7 @@ def rare_posts(sets: DataFrame) -> DataFrame:
 
     keyed = sets.select(F.xxhash64("cls").alias("k"), "set")
     posts = keyed.mapInArrow(unpack, "k long, window long")
-    counts = posts.groupBy("window").agg(F.count("*").alias("length")).filter("length > 1")
+    counts = stored(posts.groupBy("window").agg(F.count("*").alias("length")).filter("length > 1"), "neardup-counts")
     held = posts.join(counts.hint("merge"), "window").groupBy("k").agg(F.sort_array(F.collect_list(F.struct("length", "window"))).alias("held"))
     own = sets.select("cls", "n", F.xxhash64("cls").alias("_k"))
     held = held.join(own.hint("merge"), F.col("k") == F.col("_k"))
@@ -212,6 +215,7 @@ def open_links(posts: DataFrame, hubs: DataFrame, told: DataFrame, labels: DataF
     """
     named = posts.join(labels.hint("merge"), F.col("cls") == F.col("node"), "left").select("window", "cls", "n", "common", F.coalesce("label", "cls").alias("label"))
     lists = named.groupBy("window").agg(F.min("n").alias("least"), F.min("label").alias("first"), F.max("label").alias("last")).filter("first <> last")
+    lists = stored(lists.select("window", "least"), "neardup-open-lists")
     best = F.greatest("least", F.col("common"))  # a partner has at least as many windows as it shares
     live = named.join(lists.hint("merge"), "window").filter(100 * F.col("common") >= SIMILAR * (F.col("n") + best - F.col("common")))
     live = live.join(hubs.hint("merge"), "window").join(told.select(F.col("a").alias("cls"), F.col("b").alias("hub"), "bits", "rest").hint("merge"), ["cls", "hub"])
@@ -250,6 +254,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     rows = rows.join(linked.withColumnRenamed("cls", "_cls").hint("merge"), F.col("cls") == F.col("_cls"), "left")
     rows = stored(rows.select("doc_id", "n", F.coalesce("component", "cls").alias("component")), "neardup-rows")
     least = rows.filter("component IS NOT NULL").groupBy(F.col("component").alias("_component")).agg(F.min("doc_id").alias("least"))
+    least = stored(least, "neardup-least")
     rows = rows.join(least.hint("merge"), F.col("component") == F.col("_component"), "left")
     return rows.select("doc_id", F.col("n").alias("n_shingles"), "component", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
