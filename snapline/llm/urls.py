@@ -2,7 +2,8 @@
 
 Each URL is looked up as every (parent domain, path prefix of a length that rules have) it has. The digests of all rules lie
 sorted in a file that tasks map into memory and search by vectorised bisection; a found digest counts only if the stored rule
-text is equal, so colliding digests change nothing. The longest fitting rule wins; of one rule with two verdicts, block.
+text is equal, so colliding digests change nothing. The longest fitting rule wins, of equally long ones that with the longer host;
+of one rule with two verdicts, block.
 
 Defined results: a missing URL or one without ``://`` has empty host and path, which no rule fits; it is allowed. Path prefixes
 are compared as text, without decoding. Repeated rows get equal results; no rows, no result. Only ``page_id`` and ``url`` are read.
@@ -133,7 +134,8 @@ def _joined(rows: DataFrame, rules: DataFrame, lengths: list[int]) -> DataFrame:
     probes = rows.filter("host <> ''").select("_row", F.explode(hosts).alias("_host"), paths.alias("_paths")).select("_row", F.explode(F.transform("_paths", lambda p: F.concat("_host", p))).alias("probe"))
     rules = rules.select("rule", "verdict", F.xxhash64("rule").alias("_digest"))
     hits = probes.join(rules, (F.xxhash64("probe") == F.col("_digest")) & (F.col("probe") == F.col("rule")))
-    best = hits.groupBy("_row").agg(F.max(F.struct(F.length("rule").alias("length"), "rule", "verdict")).alias("best"))
+    host = F.length(F.substring_index("rule", "/", 1))
+    best = hits.groupBy("_row").agg(F.max(F.struct(F.length("rule").alias("length"), host.alias("host"), "rule", "verdict")).alias("best"))
     return rows.join(best, "_row", "left").select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("ruled"))
 
 

@@ -74,6 +74,8 @@ def test_urls(spark):
         rows = urls.judge(df, rules, limit).collect()
         assert len(rows) == 9 and {r["page_id"]: (r["rule"], r["verdict"]) for r in rows} == expected
         assert urls.judge(df.limit(0), rules, limit).count() == 0
+        ties = spark.createDataFrame([("net/abc", "block"), ("b.net/a", "allow")], "rule string, verdict string")
+        assert [r["rule"] for r in urls.judge(spark.createDataFrame([(1, "x://b.net/abc")], "page_id long, url string"), ties, limit).collect()] == ["b.net/a"]
     assert {r["verdict"] for r in urls.judge(df, rules.limit(0)).collect()} == {"allow", "block"}
 
 
