@@ -31,6 +31,8 @@ RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "b
 ARRAY_RULES = 5_000_000
 #: Names that make a host suspect; fixed values.
 SUSPECT = r"(^|[.-])(spam|phish|malware|casino|xxx|porn|warez)"
+# Folders of the files that Spark's driver serves; executors may ask for them as long as the driver lives.
+_served: list[tempfile.TemporaryDirectory] = []
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -99,30 +101,30 @@ def match_rules(pages: DataFrame, rules: DataFrame, array_rules: int = ARRAY_RUL
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     if rules.count() > array_rules:
         return _joined(rows, rules, lengths)
-    with tempfile.TemporaryDirectory() as folder:  # Spark copies the files to every executor
-        names = DigestArray.write(folder, [(r["rule"], r["verdict"]) for r in rules.collect()])
-        for path in names.values():
-            spark.sparkContext.addFile(path)
-        files = {part: os.path.basename(path) for part, path in names.items()}
-
-        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            array = DigestArray({part: SparkFiles.get(name) for part, name in files.items()})
-            for batch in batches:
-                hosts, paths = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-                probes = [probes_of(h, p, lengths) for h, p in zip(hosts, paths)]
-                flat = [p.encode() for own in probes for p in own]
-                found, at = array.find(flat), 0
-                rule, ruled = [], []
-                for own in probes:
-                    hit = next((i for i in range(len(own)) if found[at + i] is not None), None)
-                    rule.append(None if hit is None else own[hit])
-                    ruled.append(None if hit is None else ("block" if found[at + hit] else "allow"))
-                    at += len(own)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rule, pa.string()), pa.array(ruled, pa.string())], ["page_id", "host", "path", "rule", "ruled"])
-
-        # Stored while the driver still has the files.
-        schema = f"page_id {rows.schema['page_id'].dataType.simpleString()}, host string, path string, rule string, ruled string"
-        return stored(rows.mapInArrow(look_up, schema), "url-matches")
+    folder = tempfile.TemporaryDirectory(prefix="url-rules-")
+    _served.append(folder)
+    names = DigestArray.write(folder.name, [(r["rule"], r["verdict"]) for r in rules.collect()])
+    for path in names.values():
+        spark.sparkContext.addFile(path)
+    files = {part: os.path.basename(path) for part, path in names.items()}
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        array = DigestArray({part: SparkFiles.get(name) for part, name in files.items()})
+        for batch in batches:
+            hosts, paths = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            probes = [probes_of(h, p, lengths) for h, p in zip(hosts, paths)]
+            flat = [p.encode() for own in probes for p in own]
+            found, at = array.find(flat), 0
+            rule, ruled = [], []
+            for own in probes:
+                hit = next((i for i in range(len(own)) if found[at + i] is not None), None)
+                rule.append(None if hit is None else own[hit])
+                ruled.append(None if hit is None else ("block" if found[at + hit] else "allow"))
+                at += len(own)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rule, pa.string()), pa.array(ruled, pa.string())], ["page_id", "host", "path", "rule", "ruled"])
+
+    schema = f"page_id {rows.schema['page_id'].dataType.simpleString()}, host string, path string, rule string, ruled string"
+    return rows.mapInArrow(look_up, schema)
 
 
 def _joined(rows: DataFrame, rules: DataFrame, lengths: list[int]) -> DataFrame:
