@@ -51,16 +51,16 @@ def depths(calls: DataFrame) -> DataFrame:
     """conv_id, call_id, depth (calls before it in its chain; null in or behind a circle) and whether ``after`` is unknown.
 
     ``calls``: one row per (conv_id, call_id). Each round doubles the way every call has gone up its chain, so the rounds grow with
-    the logarithm of the longest chain.
+    the logarithm of the longest chain. No chain is longer than the calls that need another, counted once at the start.
     """
     known = calls.select(F.col("conv_id").alias("_conv"), F.col("call_id").alias("_call"))
     same = lambda conv, call: F.col(conv).eqNullSafe(F.col("_conv")) & (F.col(call) == F.col("_call"))
     up = calls.join(known, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("after") == F.col("_call")), "left")
     way = up.select("conv_id", "call_id", F.col("_call").alias("up"), F.col("_call").isNotNull().cast("int").alias("depth"), (F.col("after").isNotNull() & F.col("_call").isNull()).alias("unknown"))
     way = stored(way, "chat-depth-0")
-    left = way.filter("up IS NOT NULL").count()
+    left = needy = way.filter("up IS NOT NULL").count()
     reach, rounds = 1, 0
-    while left and reach <= left * 2:  # a way longer than all open calls is a circle
+    while left and reach <= needy:  # a way longer than all calls that need another is a circle
         reach, rounds = reach * 2, rounds + 1
         step = way.select(F.col("conv_id").alias("_conv"), F.col("call_id").alias("_call"), F.col("up").alias("_up"), F.col("depth").alias("_depth"))
         way = way.join(step, same("conv_id", "up"), "left")

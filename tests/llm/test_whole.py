@@ -1,0 +1,18 @@
+"""Cases in which an operator once did less than the whole job."""
+
+import pytest
+
+from llm_fixtures import workers_can_import  # noqa: F401
+from snapline.llm import chat
+
+CALLS = "conv_id string, turn long, call_id string, name string, arguments string, after string"
+
+
+@pytest.mark.parametrize("circle", [0, 3])
+@pytest.mark.parametrize("length", [5, 11, 90])
+def test_chains_of_any_length_have_depths(spark, length, circle):
+    """Alone, and beside a circle with a call behind it."""
+    rows = [("c", i, f"{i:03d}", "search", None, f"{i - 1:03d}" if i else None) for i in range(length)]
+    rows += [("o", i, f"o{i}", "search", None, f"o{(i + 1) % circle}") for i in range(circle)] + [("o", 9, "behind", "search", None, "o0")] * bool(circle)
+    found = {r["call_id"]: r["depth"] for r in chat.depths(spark.createDataFrame(rows, CALLS)).collect()}
+    assert found == {f"{i:03d}": i for i in range(length)} | {k: None for k in [*[f"o{i}" for i in range(circle)], *["behind"] * bool(circle)]}
