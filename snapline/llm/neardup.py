@@ -6,12 +6,12 @@ Texts with the same words form a class, and one document stands for it, so exact
 1. Each class gets a signature of COORDINATES minima and is posted under each (coordinate, value).
 2. Values held by one class alone cannot collide. A pair that is to collide MATCHES times must share one of a class's
    ``shared - MATCHES + 1`` rarest values; the longer lists are skipped. Classes that share such a value are compared further.
-3. Their sets are read, and posted under their rarest windows: sets as similar as SIMILAR share one of the rarest 15 % + 1.
+3. Their sets are read, and posted under their rarest windows: sets as similar as SIMILAR share one of the rarest 15 % + 1 (at 85).
 4. The members of each list are compared with its hub, the member with the fewest windows of its own: a pair must collide
    MATCHES times and is confirmed on the full sets. Then members that are still in different components and can still be
    similar are compared, each told by the hub's set, so that the full intersection is counted without reading the sets again.
 
-Two sets with similarity 0.85 collide in fewer than 15 of 32 coordinates with probability below 1e-7; that is the only
+SIMILAR and MATCHES are what ``similar`` and ``matches`` are unless given. Two sets with similarity 0.85 collide in fewer than 15 of 32 coordinates with probability below 1e-7; that is the only
 way to lose a link. No list, group or number of partners is capped.
 
 Aggregates that are joined back are stored first: then both sides of the join have a shuffle of their own, and the adaptive plan can
@@ -119,18 +119,18 @@ def class_sets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(read, "cls binary, set binary")
 
 
-def prefix_posts(classes: DataFrame) -> DataFrame:
-    """(value, cls) of the rarest values of each class that can collide MATCHES times."""
+def prefix_posts(classes: DataFrame, matches: int) -> DataFrame:
+    """(value, cls) of the rarest values of each class that can collide ``matches`` times."""
     posts = classes.select("cls", F.explode("sig").alias("value"))
     lengths = stored(posts.groupBy("value").agg(F.count("*").alias("length")).filter("length > 1"), "neardup-lengths")
     shared = posts.join(lengths.hint("merge"), "value").groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("length", "value"))).alias("held"))
-    prefix = shared.filter(F.size("held") >= MATCHES).select("cls", F.explode(F.slice("held", 1, F.size("held") - MATCHES + 1)).alias("held"))
+    prefix = shared.filter(F.size("held") >= matches).select("cls", F.explode(F.slice("held", 1, F.size("held") - matches + 1)).alias("held"))
     return prefix.select("cls", F.col("held.value").alias("value"))
 
 
-def comparable(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def comparable(docs: DataFrame, classes: DataFrame, matches: int) -> DataFrame:
     """cls, n, sig and set of the classes that share a posted value."""
-    posts = stored(prefix_posts(classes), "neardup-posts")
+    posts = stored(prefix_posts(classes, matches), "neardup-posts")
     lists = stored(posts.groupBy("value").agg(F.count("*").alias("length")).filter("length > 1").select("value"), "neardup-lists")
     chosen = posts.join(lists.hint("merge"), "value", "left_semi").select("cls").distinct()
     chosen = classes.join(chosen.hint("merge"), "cls", "left_semi").select("cls", "n", "sig", "id")
@@ -142,7 +142,7 @@ def comparable(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return chosen.drop("id").join(sets.hint("merge"), "cls")
 
 
-def rare_posts(sets: DataFrame) -> DataFrame:
+def rare_posts(sets: DataFrame, similar: int) -> DataFrame:
     """(window, cls, n, common) of the rarest windows of each set that others hold too; ``common`` counts all of these.
 
     Sets keyed by a 64-bit part of the class here; windows that one set holds alone can be in no intersection, which both
@@ -163,22 +163,22 @@ def rare_posts(sets: DataFrame) -> DataFrame:
     held = held.join(own.hint("merge"), F.col("k") == F.col("_k"))
     common = F.size("held")
     alone = F.col("n") - common
-    prefix = F.col("n") - F.ceil(F.col("n") * SIMILAR / 100) + 1 - alone
+    prefix = F.col("n") - F.ceil(F.col("n") * similar / 100) + 1 - alone
     short = held.filter(prefix > 0).select("cls", "n", common.cast("long").alias("common"), F.explode(F.slice("held", 1, F.least(prefix, common).cast("int"))).alias("held"))
     return short.select(F.col("held.window").alias("window"), "cls", "n", "common")
 
 
-def possible(n: Column, common: Column, other_n: Column, other_common: Column) -> Column:
+def possible(n: Column, common: Column, other_n: Column, other_common: Column, similar: int) -> Column:
     """Whether two sets can be similar, by their sizes and by how much of each anything else shares."""
     most = F.least(common, other_common)
-    sizes = SIMILAR * F.greatest(n, other_n) <= 100 * F.least(n, other_n)
-    return sizes & (100 * most >= SIMILAR * (n + other_n - most))
+    sizes = similar * F.greatest(n, other_n) <= 100 * F.least(n, other_n)
+    return sizes & (100 * most >= similar * (n + other_n - most))
 
 
-def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def overlaps(pairs: DataFrame, sets: DataFrame, similar: int, matches: int) -> DataFrame:
     """For each pair (a, b): ``linked``, and a's set told by b's: ``bits`` (which windows of b are in a) and ``rest`` (the others).
 
-    A pair is linked if it collides MATCHES times and is similar on the full sets.
+    A pair is linked if it collides ``matches`` times and is similar on the full sets.
     """
     left = sets.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b"), F.col("set").alias("set_b"))
@@ -192,7 +192,7 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 held = np.isin(y, x, assume_unique=True)
                 both = int(held.sum())
-                linked.append(count >= MATCHES and 100 * both >= SIMILAR * (len(x) + len(y) - both))
+                linked.append(count >= matches and 100 * both >= similar * (len(x) + len(y) - both))
                 packed = np.packbits(held)
                 bits.append(np.pad(packed, (0, -len(packed) % 8)).view(np.int64))
                 rest.append(np.setdiff1d(x, y, assume_unique=True).view(np.int64))
@@ -207,7 +207,7 @@ def hubs_of(posts: DataFrame) -> DataFrame:
     return posts.groupBy("window").agg(F.max(F.struct((F.col("common") / F.col("n")).alias("part"), "cls")).alias("best")).select("window", F.col("best.cls").alias("hub"))
 
 
-def open_links(posts: DataFrame, hubs: DataFrame, told: DataFrame, labels: DataFrame) -> DataFrame:
+def open_links(posts: DataFrame, hubs: DataFrame, told: DataFrame, labels: DataFrame, similar: int) -> DataFrame:
     """Links between members of a list that are in different components.
 
     Both sets are told by the list's hub, so their full intersection is counted inside the join, from the bits and the
@@ -217,39 +217,39 @@ def open_links(posts: DataFrame, hubs: DataFrame, told: DataFrame, labels: DataF
     lists = named.groupBy("window").agg(F.min("n").alias("least"), F.min("label").alias("first"), F.max("label").alias("last")).filter("first <> last")
     lists = stored(lists.select("window", "least"), "neardup-open-lists")
     best = F.greatest("least", F.col("common"))  # a partner has at least as many windows as it shares
-    live = named.join(lists.hint("merge"), "window").filter(100 * F.col("common") >= SIMILAR * (F.col("n") + best - F.col("common")))
+    live = named.join(lists.hint("merge"), "window").filter(100 * F.col("common") >= similar * (F.col("n") + best - F.col("common")))
     live = live.join(hubs.hint("merge"), "window").join(told.select(F.col("a").alias("cls"), F.col("b").alias("hub"), "bits", "rest").hint("merge"), ["cls", "hub"])
     live = stored(live.select("window", "cls", "n", "common", "label", "bits", "rest"), "neardup-open")
     a, b = live.alias("a"), live.alias("b")
     fair = (F.col("a.window") == F.col("b.window")) & (F.col("a.cls") < F.col("b.cls")) & (F.col("a.label") != F.col("b.label"))
-    fair = fair & possible(F.col("a.n"), F.col("a.common"), F.col("b.n"), F.col("b.common"))
+    fair = fair & possible(F.col("a.n"), F.col("a.common"), F.col("b.n"), F.col("b.common"), similar)
     in_hub = F.aggregate(F.zip_with("a.bits", "b.bits", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda n, x: n + x)
     both = in_hub + F.size(F.array_intersect("a.rest", "b.rest"))
-    fair = fair & (100 * both >= SIMILAR * (F.col("a.n") + F.col("b.n") - both))
+    fair = fair & (100 * both >= similar * (F.col("a.n") + F.col("b.n") - both))
     return a.join(b.hint("merge"), fair).select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct()
 
 
-def class_components(docs: DataFrame, prints: DataFrame) -> DataFrame:
+def class_components(docs: DataFrame, prints: DataFrame, similar: int = SIMILAR, matches: int = MATCHES) -> DataFrame:
     """(cls, component): the smallest class linked with each class that has a link."""
     classes = prints.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("id"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig"))
     classes = stored(classes, "neardup-classes")
-    sets = stored(comparable(docs, classes), "neardup-sets")
-    posts = stored(rare_posts(sets), "neardup-windows")
+    sets = stored(comparable(docs, classes, matches), "neardup-sets")
+    posts = stored(rare_posts(sets, similar), "neardup-windows")
     hubs = stored(hubs_of(posts), "neardup-hubs")
     pairs = posts.join(hubs.hint("merge"), "window").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
-    told = stored(overlaps(pairs, sets), "neardup-told")
+    told = stored(overlaps(pairs, sets, similar, matches), "neardup-told")
     links = stored(told.filter("linked AND a <> b").select("a", "b"), "neardup-first-links")
     labels = components(links, "neardup-first")
-    more = stored(open_links(posts, hubs, told, labels), "neardup-more")
+    more = stored(open_links(posts, hubs, told, labels, similar), "neardup-more")
     if not more.isEmpty():
         labels = components(stored(links.union(more), "neardup-links"), "neardup-all")
     return labels.select(F.col("node").alias("cls"), F.col("label").alias("component"))
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
+def near_copies(docs: DataFrame, similar: int = SIMILAR, matches: int = MATCHES) -> DataFrame:
     """doc_id, n_shingles, component (a key, none for an empty set) and component_id of each row."""
     prints = stored(fingerprints(docs), "neardup-prints")
-    linked = stored(class_components(docs, prints), "neardup-components")
+    linked = stored(class_components(docs, prints, similar, matches), "neardup-components")
     rows = prints.select("doc_id", "n", "cls")
     rows = rows.join(linked.withColumnRenamed("cls", "_cls").hint("merge"), F.col("cls") == F.col("_cls"), "left")
     rows = stored(rows.select("doc_id", "n", F.coalesce("component", "cls").alias("component")), "neardup-rows")
@@ -259,12 +259,12 @@ def near_copies(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.col("n").alias("n_shingles"), "component", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
-def distinct_documents(docs: DataFrame) -> DataFrame:
+def distinct_documents(docs: DataFrame, similar: int = SIMILAR, matches: int = MATCHES) -> DataFrame:
     """One document of each component, that with the smallest id, with the columns it came with.
 
     Rows that repeat such an id with the same text count as copies too; only one of them is kept.
     """
-    kept = near_copies(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = near_copies(docs, similar, matches).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     ids = stored(kept.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("rows")), "neardup-kept")
     rows = docs.join(ids.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
     # A second shuffle of the texts only if there are such rows.

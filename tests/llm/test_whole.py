@@ -3,7 +3,7 @@
 import pytest
 
 from llm_fixtures import workers_can_import  # noqa: F401
-from snapline.llm import chat
+from snapline.llm import chat, neardup
 
 CALLS = "conv_id string, turn long, call_id string, name string, arguments string, after string"
 
@@ -16,3 +16,12 @@ def test_chains_of_any_length_have_depths(spark, length, circle):
     rows += [("o", i, f"o{i}", "search", None, f"o{(i + 1) % circle}") for i in range(circle)] + [("o", 9, "behind", "search", None, "o0")] * bool(circle)
     found = {r["call_id"]: r["depth"] for r in chat.depths(spark.createDataFrame(rows, CALLS)).collect()}
     assert found == {f"{i:03d}": i for i in range(length)} | {k: None for k in [*[f"o{i}" for i in range(circle)], *["behind"] * bool(circle)]}
+
+
+def test_near_copies_by_given_similarity(spark):
+    """81 of 99 windows in common; the threshold holds in prefixes, links and what distinct_documents keeps."""
+    words = [f"w{i}" for i in range(94)]
+    texts = [" ".join(words), " ".join([*words[:85], *[f"x{i}" for i in range(9)]])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = lambda *given: sorted(r["doc_id"] for r in neardup.distinct_documents(docs, *given).collect())
+    assert kept() == [0, 1] and kept(80, 12) == [0]
