@@ -85,8 +85,12 @@ def signature(x: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(6)) | PLACES
 
 
+def exact_text() -> Column:
+    return F.unhex(F.sha2(F.col("text").cast("binary"), 256))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, n (set size), cls (class, none for an empty set) and sig of each row."""
+    """doc_id, exact (digest of the text as it is), n (set size), cls (class, none for an empty set) and sig of each row."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -99,11 +103,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 classes.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
                 signatures.append(signature(x).view(np.int64) if words else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.array(signatures, pa.list_(pa.int64()))],
-                ["doc_id", "n", "cls", "sig"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.array(signatures, pa.list_(pa.int64()))],
+                ["doc_id", "exact", "n", "cls", "sig"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(read, "doc_id long, n long, cls binary, sig array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text", exact_text().alias("exact")).mapInArrow(read, "doc_id long, exact binary, n long, cls binary, sig array<long>")
 
 
 def class_sets(docs: DataFrame) -> DataFrame:
@@ -246,13 +250,18 @@ def class_components(docs: DataFrame, prints: DataFrame, similar: int = SIMILAR,
     return labels.select(F.col("node").alias("cls"), F.col("label").alias("component"))
 
 
-def near_copies(docs: DataFrame, similar: int = SIMILAR, matches: int = MATCHES) -> DataFrame:
-    """doc_id, n_shingles, component (a key, none for an empty set) and component_id of each row."""
+def component_rows(docs: DataFrame, similar: int, matches: int) -> DataFrame:
+    """doc_id, exact, n, cls and component (a key, none for an empty set) of each row, stored."""
     prints = stored(fingerprints(docs), "neardup-prints")
     linked = stored(class_components(docs, prints, similar, matches), "neardup-components")
-    rows = prints.select("doc_id", "n", "cls")
+    rows = prints.select("doc_id", "exact", "n", "cls")
     rows = rows.join(linked.withColumnRenamed("cls", "_cls").hint("merge"), F.col("cls") == F.col("_cls"), "left")
-    rows = stored(rows.select("doc_id", "n", F.coalesce("component", "cls").alias("component")), "neardup-rows")
+    return stored(rows.select("doc_id", "exact", "n", "cls", F.coalesce("component", "cls").alias("component")), "neardup-rows")
+
+
+def near_copies(docs: DataFrame, similar: int = SIMILAR, matches: int = MATCHES) -> DataFrame:
+    """doc_id, n_shingles, component (a key, none for an empty set) and component_id of each row."""
+    rows = component_rows(docs, similar, matches).select("doc_id", "n", "component")
     least = rows.filter("component IS NOT NULL").groupBy(F.col("component").alias("_component")).agg(F.min("doc_id").alias("least"))
     least = stored(least, "neardup-least")
     rows = rows.join(least.hint("merge"), F.col("component") == F.col("_component"), "left")
@@ -260,15 +269,24 @@ def near_copies(docs: DataFrame, similar: int = SIMILAR, matches: int = MATCHES)
 
 
 def distinct_documents(docs: DataFrame, similar: int = SIMILAR, matches: int = MATCHES) -> DataFrame:
-    """One document of each component, that with the smallest id, with the columns it came with.
+    """One document of each component, that with the smallest id (missing ids last, then by class), with the columns it came with.
 
-    Rows that repeat such an id with the same text count as copies too; only one of them is kept.
+    Rows that repeat its id with the same text are copies too; only one of them is kept. The decision comes back by id and exact
+    text, so other rows with a missing or repeated id are not touched by it. Rows with an empty set all stay.
     """
-    kept = near_copies(docs, similar, matches).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = stored(kept.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("rows")), "neardup-kept")
-    rows = docs.join(ids.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
-    # A second shuffle of the texts only if there are such rows.
-    return rows if ids.filter("rows > 1").isEmpty() else rows.dropDuplicates(["doc_id", "text"])
+    alike = component_rows(docs, similar, matches).groupBy("component", "doc_id", "cls", "exact").agg((F.count("*") > 1).alias("again"))
+    alike = stored(alike, "neardup-alike")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "cls", "exact", "again")).alias("best")
+    chosen = alike.filter("component IS NOT NULL").groupBy("component").agg(best).select("best.doc_id", "best.exact", "best.again")
+    kept = chosen.union(alike.filter("component IS NULL").select("doc_id", "exact", F.lit(False)))
+    kept = stored(kept.toDF("_id", "_exact", "_again"), "neardup-kept")
+
+    def held(ids: DataFrame) -> DataFrame:
+        return docs.join(ids.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & exact_text().eqNullSafe(F.col("_exact")), "left_semi")
+
+    # A second pass, and a shuffle of these texts, only if there are such rows.
+    again = kept.filter("_again")
+    return held(kept) if again.isEmpty() else held(kept.filter("NOT _again")).unionByName(held(again).dropDuplicates(["doc_id", "text"]))
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,3 +25,17 @@ def test_near_copies_by_given_similarity(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     kept = lambda *given: sorted(r["doc_id"] for r in neardup.distinct_documents(docs, *given).collect())
     assert kept() == [0, 1] and kept(80, 12) == [0]
+
+
+def test_missing_and_repeated_ids_do_not_save_copies(spark):
+    one, two, three, four = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcd"]
+    rows = [
+        (1, one), (None, one), (None, one.upper()),  # a copy with an id stays
+        (None, two), (None, two), (None, two.upper()),  # none has an id
+        (7, three), (9, three), (9, four), (9, four),  # 9 stays for its other text only
+        (None, ""), (None, None), (5, ""),
+    ]
+    kept = neardup.distinct_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum((r["text"] or "").lower() == two for r in kept) == 1
+    others = [(r["doc_id"], r["text"]) for r in kept if (r["text"] or "").lower() != two]
+    assert sorted(others, key=repr) == sorted([(1, one), (7, three), (9, four), (None, ""), (None, None), (5, "")], key=repr)
