@@ -23,12 +23,15 @@ CLASSES = (
     ("hex", "^[0-9A-Fa-f-]+$", "0123456789abcdefABCDEF-", 3.0),
     ("base64", "^.*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.7),
 )
-#: Candidates that match one of these are no secrets; fixed values.
+SLUG = "^[a-z]+([-_/][a-z0-9]+)+$"
+#: A part of a slug that is no word: a run of 16 or more characters with both letters and digits.
+UNLIKE_WORD = "(?<![a-z0-9])(?=[a-z]*[0-9])(?=[0-9]*[a-z])[a-z0-9]{16,}"
+#: Candidates that match one of these are no secrets, but for slugs with a part UNLIKE_WORD; fixed values.
 ALLOWED = (
     "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
     "^[A-Za-z/_=+-]+$",  # no digit: words, paths, rules
     "^[0-9/_=+-]+$",  # no letter: numbers, dates
-    "^[a-z]+([-_/][a-z0-9]+)+$",  # slugs and paths
+    SLUG,  # slugs and paths
     "EXAMPLE",
 )
 
@@ -86,6 +89,10 @@ def entropy_range(candidate: Column, alphabet: str, least: float) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(candidate)), zero, step, lambda acc: F.struct(acc["lo"].alias("lo"), acc["hi"].alias("hi")))
 
 
+def allowed(hit: Column) -> Column:
+    return hit.rlike("|".join(p for p in ALLOWED if p != SLUG)) | (hit.rlike(SLUG) & ~hit.rlike(UNLIKE_WORD))
+
+
 def entropy_spans(text: Column, base: Column) -> Column:
     """Spans of high-entropy windows in candidates that are not allowed and do not touch a span of ``base``."""
 
@@ -96,7 +103,7 @@ def entropy_spans(text: Column, base: Column) -> Column:
             chain = found if chain is None else F.when(c["hit"].rlike(shape), found).otherwise(chain)
         return bound(chain, lambda r: F.struct((c["start"] + r["lo"]).alias("start"), c["kind"].alias("kind"), (c["start"] + r["hi"]).alias("finish"), c["hit"].alias("hit")))
 
-    fair = lambda c: ~F.exists(base, lambda b: (b["start"] < c["finish"]) & (c["start"] < b["finish"])) & ~c["hit"].rlike("|".join(ALLOWED))
+    fair = lambda c: ~F.exists(base, lambda b: (b["start"] < c["finish"]) & (c["start"] < b["finish"])) & ~allowed(c["hit"])
     candidates = F.filter(spans_of(text, CANDIDATE, KINDS.index("entropy")), fair)
     return F.filter(F.transform(candidates, judged), lambda s: s["start"].isNotNull())
 
