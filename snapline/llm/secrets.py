@@ -94,7 +94,7 @@ def allowed(hit: Column) -> Column:
 
 
 def entropy_spans(text: Column, base: Column) -> Column:
-    """Spans of high-entropy windows in candidates that are not allowed and do not touch a span of ``base``."""
+    """Spans of high-entropy windows in what ``base`` leaves of candidates, in pieces of SPAN characters or more that are not allowed."""
 
     def judged(c: Column) -> Column:
         chain = None
@@ -103,8 +103,24 @@ def entropy_spans(text: Column, base: Column) -> Column:
             chain = found if chain is None else F.when(c["hit"].rlike(shape), found).otherwise(chain)
         return bound(chain, lambda r: F.struct((c["start"] + r["lo"]).alias("start"), c["kind"].alias("kind"), (c["start"] + r["hi"]).alias("finish"), c["hit"].alias("hit")))
 
-    fair = lambda c: ~F.exists(base, lambda b: (b["start"] < c["finish"]) & (c["start"] < b["finish"])) & ~allowed(c["hit"])
-    candidates = F.filter(spans_of(text, CANDIDATE, KINDS.index("entropy")), fair)
+    def part(c: Column, start: Column, finish: Column) -> Column:
+        hit = F.substring(c["hit"], start - c["start"] + 1, finish - start)
+        return F.struct(start.alias("start"), c["kind"].alias("kind"), finish.alias("finish"), hit.alias("hit"))
+
+    def pieces(c: Column) -> Column:
+        """What spans of ``base``, which come in order, leave of a candidate."""
+        over = F.filter(base, lambda b: (b["start"] < c["finish"]) & (c["start"] < b["finish"]))
+
+        def step(acc: Column, b: Column) -> Column:
+            left = F.when(b["start"] - acc["at"] >= SPAN, F.array(part(c, acc["at"], b["start"]))).otherwise(none())
+            return F.struct(F.greatest(acc["at"], b["finish"]).alias("at"), F.concat(acc["parts"], left).alias("parts"))
+
+        zero = F.struct(c["start"].alias("at"), none().alias("parts"))
+        last = lambda acc: F.when(c["finish"] - acc["at"] >= SPAN, F.array(part(c, acc["at"], c["finish"]))).otherwise(none())
+        return F.aggregate(over, zero, step, lambda acc: F.concat(acc["parts"], last(acc)))
+
+    candidates = F.flatten(F.transform(spans_of(text, CANDIDATE, KINDS.index("entropy")), pieces))
+    candidates = F.filter(candidates, lambda c: ~allowed(c["hit"]))
     return F.filter(F.transform(candidates, judged), lambda s: s["start"].isNotNull())
 
 
