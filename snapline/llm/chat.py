@@ -128,6 +128,8 @@ def tool_log(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     An assistant's turn calls a tool with its text as query; the user's next turn is the result. Every third call by length
     needs the call two turns before. Some lengths stand for wrong types, missing fields and an unknown tool.
+    Nothing else gives a call or a result: system turns, user turns at turn 0, and rows with another or no role are left out, and so
+    are user rows without a turn.
     """
     n = F.coalesce(F.length("text"), F.lit(0))
     # to_json writes a map with one text; its value is the text as JSON.
