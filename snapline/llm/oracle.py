@@ -1,7 +1,7 @@
 """The corpus queries in plain SQL for another engine, where SQL can express them.
 
-Not expressed: toxicity and language (trained models), tested by held-out accuracy and against plain Python, and the mix (drawn
-by a hash that the other engine lacks), whose targets are tested against SQL.
+Not expressed: toxicity and language (trained models), tested by held-out accuracy and against plain Python, the mix (drawn
+by a hash that the other engine lacks), whose targets are tested against SQL, and packing (token ids), tested by round trip and brute force.
 """
 
 from __future__ import annotations
@@ -185,5 +185,50 @@ FROM d JOIN placed ON placed.text IS NOT DISTINCT FROM d.text LEFT JOIN sums ON
 """
 
 
+# The checksum of an id's digits, by the table of a polynomial, as in OP9.
+OP11 = rf"""
+WITH RECURSIVE bits AS (SELECT CAST(i AS UBIGINT) AS i, 0 AS k, CAST(i AS UBIGINT) AS c FROM range(256) AS x(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
+    CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS UBIGINT))),
+      lambda c, b: xor(c >> 8, t[CAST(1 + (xor(c, b) & 255) AS BIGINT)])), CAST(4294967295 AS UBIGINT)) AS BIGINT) AS h FROM documents, crc),
+a AS (SELECT *, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+p AS (SELECT *, CAST(1 + floor((len(w) - a) / (3 + g % 8)) AS BIGINT) AS p FROM a),
+texts AS (SELECT doc_id, r, CASE WHEN h % 10 = 0 AND len(w) > 0
+    THEN list_transform(range(0, len(w)), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w FROM p),
+words AS MATERIALIZED (SELECT r, len(w) AS n, i, w[i + 1] AS x FROM (SELECT r, w, unnest(range(0, len(w))) AS i FROM texts)),
+same AS (SELECT a.r, b.i - a.i AS q, a.i, a.i - row_number() OVER (PARTITION BY a.r, b.i - a.i ORDER BY a.i) AS island
+  FROM words a JOIN words b ON a.r = b.r AND a.x = b.x AND a.i < b.i AND 4 * (b.i - a.i) <= a.n),
+stretches AS (SELECT r, q, min(i) AS start, count(*) + q AS length FROM same GROUP BY r, q, island),
+longs AS MATERIALIZED (SELECT * FROM stretches WHERE length >= greatest(6, 4 * q)),
+runs AS MATERIALIZED (SELECT r, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, CAST(q AS BIGINT) AS period FROM longs x WHERE NOT EXISTS
+  (SELECT 1 FROM longs y WHERE y.r = x.r AND y.q < x.q AND y.start <= x.start AND y.start + y.length >= x.start + x.length)),
+told AS (SELECT r, count(*) AS n, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines,
+    first(struct_pack(s := start, l := length, p := period) ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) AS best FROM runs GROUP BY r),
+dropped AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS text FROM words ANTI JOIN dropped USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(told.n, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period, 1000 * best.l // best.p AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM texts LEFT JOIN told ON told.r = texts.r LEFT JOIN kept ON kept.r = texts.r
+"""
+
+_terms = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP13 = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({_lower}, '{_terms}') AS w FROM documents),
+i AS (SELECT item_id, row_number() OVER () AS k, regexp_extract_all({_lower}, '{_terms}') AS w FROM benchmark),
+wanted AS (SELECT DISTINCT k, unnest(w) AS x FROM i),
+held AS (SELECT r, doc_id, n, x, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS x FROM d) GROUP BY ALL),
+totals AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0),
+weights AS (SELECT x, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * coalesce(df, 0) + 1 AS DOUBLE))) AS BIGINT) AS weight
+  FROM (SELECT DISTINCT x FROM wanted) LEFT JOIN (SELECT x, count(*) AS df FROM held GROUP BY x) USING (x), totals),
+scores AS (SELECT k, r, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total)))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (x) JOIN held USING (x), totals GROUP BY k, r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN i USING (k) WHERE rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": OP1, "op3_secret_scan": OP3, "op5_minhash_dedup": OP5, "op6_url_filter": OP6, "op7_decontamination": OP7, "op8_chat_format": OP8, "op9_sharding": OP9}
+    return {"op1_quality_rules": OP1, "op3_secret_scan": OP3, "op5_minhash_dedup": OP5, "op6_url_filter": OP6, "op7_decontamination": OP7, "op8_chat_format": OP8, "op9_sharding": OP9, "op11_periodic_runs": OP11, "op13_lexical_search": OP13}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapline.llm import chat, decontamination, language, mixing, neardup, quality, secrets, sharding, toxicity, urls
+from snapline.llm import chat, decontamination, language, mixing, neardup, packing, quality, runs, search, secrets, sharding, toxicity, urls
 from snapline.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,9 @@ _QUERIES: tuple[Query, ...] = (
     chat.op8_chat_format,
     sharding.op9_sharding,
     language.op10_language_id,
+    runs.op11_periodic_runs,
+    packing.op12_packing,
+    search.op13_lexical_search,
 )
 
 
