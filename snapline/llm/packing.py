@@ -14,12 +14,14 @@ ordinary text. Only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,12 +30,13 @@ from snapline.llm.common import running, stored, table
 WINDOW = 1024
 CLOSING = 0
 VOCABULARY = "byte_bpe_50k.json"
-#: Chunks of text whose ids a worker remembers.
-REMEMBERED = 500_000
-#: Chunks of a long text that are looked up at once.
-CHUNKS = 1 << 18
-#: Bytes of ids gathered before they are handed on.
-HANDED_ON = 1 << 23
+#: Chunks that are encoded at once.
+CHUNKS = 512
+#: Chunks whose ids a worker remembers; beyond it only those of the last texts.
+REMEMBERED = 1_000_000
+#: Bytes of texts that are encoded together.
+TOGETHER = 1 << 24
+WHITE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -44,10 +47,12 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 class TextIds:
-    """Token ids of texts as bytes (little-endian, 32 bits each), remembered by chunk.
+    """Token ids of many texts at once; equal chunks of the texts are encoded once.
 
-    A byte-level vocabulary of this kind never joins characters across a single blank that follows one visible character and precedes
-    another, so a text is cut there and equal chunks are encoded once.
+    The pattern of byte-level vocabularies never joins white space to what stands before it, and of a run of white space followed by something
+    visible it leaves the last character to that. So texts are cut before each run and before its last character: a chunk is
+    at most one white-space character with what is visible after it, or the rest of a run. That holds for ASCII white space; texts in which
+    other white space stands beside a cut are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -55,59 +60,103 @@ class TextIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        size = self.tokenizer.get_vocab_size()
-        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
-        self.known: dict[str, bytes] = {}
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        # How this kind of vocabulary writes the six white-space bytes: 0x20 and 0x09 to 0x0D, moved up by 256.
+        self.opens = np.array([name.startswith(tuple(map(chr, [0x120, *range(0x109, 0x10E)]))) for name in names])
+        self.known = pa.array([], pa.binary())
+        self.ids, self.begin, self.count = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def encoded(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def learn(self, chunks: list[str]) -> None:
-        """Encode chunks, each with its leading blank, in one go; a token that opens with the blank opens a chunk."""
-        plain = [c for c in chunks if len(c.split()) == 1 and "Ġ" not in c]
-        for c in set(chunks).difference(plain):
-            self.known[c] = self.encoded(" " + c).tobytes()
-        if plain:
-            ids = self.encoded(" " + " ".join(plain))
-            starts = np.flatnonzero(self.opens[ids])
-            if len(starts) != len(plain):  # a vocabulary that joins the blank with something else
-                self.known |= {c: self.encoded(" " + c).tobytes() for c in plain}
-                return
-            data = ids.tobytes()
-            ends = [*(4 * starts[1:]).tolist(), len(data)]
-            self.known |= {c: data[s:e] for c, s, e in zip(plain, (4 * starts).tolist(), ends)}
-
-    def of(self, text: str) -> bytes:
-        if not text:
-            return b""
-        parts = _whole(text.split(" "))
-        out = [self.encoded(parts[0]).tobytes()] if parts[0] else []
-        for i in range(1, len(parts), CHUNKS):
-            some = parts[i : i + CHUNKS]
-            new = [c for c in dict.fromkeys(some) if c not in self.known]
-            if new and len(self.known) > REMEMBERED:
-                self.known.clear()
-                new = list(dict.fromkeys(some))
-            if new:
-                self.learn(new)
-            out.append(b"".join(map(self.known.__getitem__, some)))
-        return b"".join(out)
-
-
-def _whole(parts: list[str]) -> list[str]:
-    """Parts between blanks, put together again where a blank has another white-space character beside it or the text begins or ends.
-
-    The first part has no leading blank.
-    """
-    inner = [bool(p) and not p[0].isspace() for p in parts]
-    outer = [bool(p) and not p[-1].isspace() for p in parts]
-    cuts = [0, *[i for i in range(1, len(parts)) if outer[i - 1] and inner[i]], len(parts)]
-    return parts if len(cuts) == len(parts) + 1 else [" ".join(parts[s:e]) for s, e in zip(cuts, cuts[1:])]
+    def of(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Texts as bytes, the i-th from ``ends[i]`` to ``ends[i + 1]`` -> all ids, and their ends in the same way."""
+        first = np.zeros(len(data) + 1, bool)
+        first[ends] = True
+        white = WHITE[data]
+        opens, closes = white.copy(), white & ~first[1:]
+        opens[1:] &= ~white[:-1]
+        closes[:-1] &= ~white[1:]
+        starts = np.flatnonzero(first[:-1] | opens | closes).astype(np.int32)
+        offsets = pa.py_buffer(np.append(starts, np.int32(len(data))))
+        coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, offsets, pa.py_buffer(data)]).dictionary_encode()
+        number = coded.indices.to_numpy()
+        place = pc.index_in(coded.dictionary, value_set=self.known).fill_null(-1).to_numpy().copy()
+        new = np.flatnonzero(place < 0)
+        chunks = coded.dictionary.take(pa.array(new))
+        odd = np.zeros(len(place), bool)
+        odd[new] = [_odd(c) for c in chunks.to_pylist()]
+        at = np.searchsorted(starts, ends)
+        if odd.any():
+            return self._apart(data, ends, np.add.reduceat(np.append(odd[number], False), at[:-1]) * (np.diff(at) > 0) > 0)
+        place[new] = len(self.known) + np.arange(len(new))
+        ids, begin, count = self._chunk_ids(chunks.to_pylist())
+        self.begin, self.count = np.append(self.begin, len(self.ids) + begin), np.append(self.count, count)
+        self.ids, self.known = np.append(self.ids, ids), pa.concat_arrays([self.known, chunks])
+        if len(self.known) > REMEMBERED:
+            ids = _gathered(self.ids, self.begin[place], self.count[place])
+            self.known, self.count, self.ids = coded.dictionary, self.count[place], ids
+            self.begin = np.cumsum(self.count) - self.count
+            place = np.arange(len(place))
+        number = place[number]
+        held = self.count[number]
+        return _gathered(self.ids, self.begin[number], held), np.concatenate([[0], np.cumsum(held)])[at]
+
+    def _chunk_ids(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, begin, count): where the ids of each chunk lie.
+
+        Chunks of one white-space character and something visible are encoded together, as a token that opens with such a character opens a
+        chunk; a word that a text begins with is encoded after a newline, which is then left out.
+        """
+        begin, count, parts, total = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64), [], 0
+        blank = [c.isspace() for c in chunks]
+        plain = [i for i, b in enumerate(blank) if not b]
+        for k in range(0, len(plain), CHUNKS):
+            some = plain[k : k + CHUNKS]
+            bare = np.array([not WHITE[chunks[i][0]] for i in some])
+            ids = self.encoded(b"".join([b"\n" + chunks[i] if b else chunks[i] for i, b in zip(some, bare)]).decode("utf-8", "replace"))
+            opens = np.flatnonzero(self.opens[ids])
+            if len(opens) != len(some):
+                raise ValueError("this vocabulary does not keep white space at the beginning of tokens")
+            begin[some] = total + opens + bare
+            count[some] = np.diff(np.append(opens, len(ids))) - bare
+            parts.append(ids)
+            total += len(ids)
+        for i, b in enumerate(blank):
+            if b:
+                parts.append(self.encoded(chunks[i].decode()))
+                begin[i], count[i], total = total, len(parts[-1]), total + len(parts[-1])
+        return np.concatenate(parts) if parts else np.zeros(0, "<u4"), begin, count
+
+    def _apart(self, data: np.ndarray, ends: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Odd texts whole, the others together."""
+        texts = [data[s:e] for s, e in zip(ends, ends[1:])]
+        plain = [t for t, o in zip(texts, odd) if not o]
+        ids, upto = self.of(np.concatenate([np.zeros(0, np.uint8), *plain]), np.cumsum([0, *map(len, plain)]))
+        others = iter(zip(upto, upto[1:]))
+        found = [self.encoded(t.tobytes().decode("utf-8", "replace")) if o else ids[slice(*next(others))] for t, o in zip(texts, odd)]
+        return np.concatenate([np.zeros(0, "<u4"), *found]), np.cumsum([0, *map(len, found)])
+
+
+def _gathered(ids: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The stretches of ``ids`` that lie at ``begin``, one after the other."""
+    before = np.cumsum(count) - count
+    return ids[np.repeat(begin - before, count) + np.arange(count.sum())]
+
+
+def _odd(chunk: bytes) -> bool:
+    """Whether white space other than the six ASCII characters stands beside a cut."""
+    inner = chunk.strip()
+    if not inner or (0x20 < inner[0] < 0x80 and 0x20 < inner[-1] < 0x80):
+        return False
+    text = inner.decode("utf-8", "replace")
+    return text[0].isspace() or text[-1].isspace()
 
 
 @lru_cache(maxsize=2)
 def text_ids(path: str) -> TextIds:
-    """One for each worker, so that its tasks share what is remembered."""
+    """Read once in each worker, whose tasks have a core each."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return TextIds(path)
 
 
@@ -116,25 +165,26 @@ def pieces(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> Da
     path = path or vocabulary_path()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = text_ids(path)
+        encoder = text_ids(path)
         closing = np.array([CLOSING], "<u4").tobytes()
-        names = ["doc_id", "start", "length", "doc_tokens", "ids"]
         for batch in batches:
-            rows, held = [], 0
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                data = texts.of(text.as_py() or "") + closing
-                n = len(data) // 4
-                doc = doc.as_py()
-                rows += [(doc, s, min(window, n - s), n, data[4 * s : 4 * (s + window)]) for s in range(0, n, window)]
-                held += len(data)
-                if held > HANDED_ON:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
-                    rows, held = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+            first, texts, held = 0, [], 0
+            for i, text in enumerate(batch.column(1)):
+                texts.append(text.as_py() or b"")
+                held += len(texts[-1])
+                if held < TOGETHER and i + 1 < batch.num_rows:
+                    continue
+                ids, ends = encoder.of(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+                rows = []
+                for doc, s, e in zip(batch.column(0).slice(first, len(texts)).to_pylist(), ends.tolist(), ends[1:].tolist()):
+                    data, n = ids[s:e].tobytes() + closing, e - s + 1
+                    rows += [(doc, p, min(window, n - p), n, data[4 * p : 4 * (p + window)]) for p in range(0, n, window)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["doc_id", "start", "length", "doc_tokens", "ids"])
+                first, texts, held = i + 1, [], 0
 
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, "doc_id long, start long, length long, doc_tokens long, ids binary")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
+    return rows.mapInArrow(cut, "doc_id long, start long, length long, doc_tokens long, ids binary")
 
 
 class OpenWindows:

@@ -4,6 +4,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import duckdb
 import numpy as np
@@ -131,12 +132,17 @@ def test_query_equals_sql_on_repeated_rows(spark, tmp_path, name):
 # Packing
 
 
-def plain_ids(text):
+@lru_cache
+def plain_tokenizer():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(packing.vocabulary_path())
     tokenizer.encode_special_tokens = True
-    return tokenizer.encode(text or "", add_special_tokens=False).ids
+    return tokenizer
+
+
+def plain_ids(text):
+    return plain_tokenizer().encode(text or "", add_special_tokens=False).ids
 
 
 def brute_best_fit(lengths, window):
@@ -181,20 +187,18 @@ def test_best_fit_over_counts_equals_piece_by_piece():
 
 
 def test_ids_of_chunks_equal_plain_ids(monkeypatch):
-    texts = ["", " ", "a", " a", "a ", "a  b", "a \n b", "a  b", "x" * 5000, "it's we'll 你好 Été <|endoftext|> Ġx", "\t\tdef f(x):\n    return  x\n\n", "a" + " " * 300 + "b", "  a \x1f b \x85 c", "1 22 333 4,444.5 !!! ... ?!"]
+    texts = ["", " ", "a", " a", "a ", "a  b", "a \n b", "a  b", "x" * 5000, "it's we'll 你好 Été <|endoftext|> Ġx", "\t\tdef f(x):\n    return  x\n\n", "a" + " " * 300 + "b", "  a \x1f b \x85 c", "1 22 333 4,444.5 !!! ... ?!", "a\t\n b", "a\t b", "\n\na\n\nb\n", "!\x1c a", "a\x85 b", "x " * 40 + " " * 200_000 + "\n" + "y"]
     rng = random.Random(8)
     texts += ["".join(rng.choice(["a", "B", "1", ".", " ", " ", "\n", "é", "你", "'s", " ", "\x1c", "Ġ"]) for _ in range(200)) for _ in range(200)]
-    ids = packing.TextIds(packing.vocabulary_path())
-    for small in (False, True):
-        if small:  # remembers little, reads in small steps
-            monkeypatch.setattr(packing, "REMEMBERED", 10)
-            monkeypatch.setattr(packing, "CHUNKS", 7)
-        for text in texts:
-            assert np.frombuffer(ids.of(text), "<u4").tolist() == plain_ids(text), repr(text)
-
-
-def test_many_blanks_take_linear_time():
-    assert len(packing._whole(("a" + " " * 500_000 + "b").split(" "))) == 1
+    encoder = packing.TextIds(packing.vocabulary_path())
+    for some in (texts, texts[:1], [], *[[t] for t in texts[:20]], texts[::-1]):
+        monkeypatch.setattr(packing, "CHUNKS", 512 if some is texts else 7)
+        monkeypatch.setattr(packing, "REMEMBERED", 5_000 if some is texts else 50)
+        data = [t.encode() for t in some]
+        ids, ends = encoder.of(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+        assert len(ends) == len(some) + 1 and ends[-1] == len(ids)
+        for text, s, e in zip(some, ends, ends[1:]):
+            assert ids[s:e].tolist() == plain_ids(text), repr(text)
 
 
 def test_packing_round_trip(spark, odd_docs):
