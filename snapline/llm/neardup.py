@@ -9,7 +9,8 @@ Texts with the same words form a class, and one document stands for it, so exact
 3. Their sets are read, and posted under their rarest windows: sets as similar as SIMILAR share one of the rarest 15 % + 1 (at 85).
 4. The members of each list are compared with its hub, the member with the fewest windows of its own: a pair must collide
    MATCHES times and is confirmed on the full sets. Then members that are still in different components and can still be
-   similar are compared, each told by the hub's set, so that the full intersection is counted without reading the sets again.
+   similar are compared, each told by the hub's set, so that the full intersection is counted without reading the sets again; they
+   must collide MATCHES times too.
 
 SIMILAR and MATCHES are what ``similar`` and ``matches`` are unless given. Two sets with similarity 0.85 collide in fewer than 15 of 32 coordinates with probability below 1e-7; that is the only
 way to lose a link. No list, group or number of partners is capped.
@@ -179,15 +180,20 @@ def possible(n: Column, common: Column, other_n: Column, other_common: Column, s
     return sizes & (100 * most >= similar * (n + other_n - most))
 
 
+def collisions(a: str, b: str) -> Column:
+    """In how many coordinates two signatures agree."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+
+
 def overlaps(pairs: DataFrame, sets: DataFrame, similar: int, matches: int) -> DataFrame:
-    """For each pair (a, b): ``linked``, and a's set told by b's: ``bits`` (which windows of b are in a) and ``rest`` (the others).
+    """For each pair (a, b): ``linked``, and a's set told by b's: ``bits`` (which windows of b are in a) and ``rest`` (the others); a's ``sig``.
 
     A pair is linked if it collides ``matches`` times and is similar on the full sets.
     """
     left = sets.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b"), F.col("set").alias("set_b"))
-    collisions = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    whole = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", collisions.alias("collisions"), "set_a", "set_b")
+    whole = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+    whole = whole.select("a", "b", collisions("sig_a", "sig_b").alias("collisions"), "set_a", "set_b", "sig_a")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,10 +206,10 @@ def overlaps(pairs: DataFrame, sets: DataFrame, similar: int, matches: int) -> D
                 packed = np.packbits(held)
                 bits.append(np.pad(packed, (0, -len(packed) % 8)).view(np.int64))
                 rest.append(np.setdiff1d(x, y, assume_unique=True).view(np.int64))
-            columns = [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(bits, pa.list_(pa.int64())), pa.array(rest, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "linked", "bits", "rest"])
+            columns = [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(bits, pa.list_(pa.int64())), pa.array(rest, pa.list_(pa.int64())), batch.column(5)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "linked", "bits", "rest", "sig"])
 
-    return whole.mapInArrow(compare, "a binary, b binary, linked boolean, bits array<long>, rest array<long>")
+    return whole.mapInArrow(compare, "a binary, b binary, linked boolean, bits array<long>, rest array<long>, sig array<long>")
 
 
 def hubs_of(posts: DataFrame) -> DataFrame:
@@ -211,8 +217,8 @@ def hubs_of(posts: DataFrame) -> DataFrame:
     return posts.groupBy("window").agg(F.max(F.struct((F.col("common") / F.col("n")).alias("part"), "cls")).alias("best")).select("window", F.col("best.cls").alias("hub"))
 
 
-def open_links(posts: DataFrame, hubs: DataFrame, told: DataFrame, labels: DataFrame, similar: int) -> DataFrame:
-    """Links between members of a list that are in different components.
+def open_links(posts: DataFrame, hubs: DataFrame, told: DataFrame, labels: DataFrame, similar: int, matches: int) -> DataFrame:
+    """Links between members of a list that are in different components and collide ``matches`` times.
 
     Both sets are told by the list's hub, so their full intersection is counted inside the join, from the bits and the
     rests; only links come out of it. Members that can match nobody in their list take no part.
@@ -222,14 +228,14 @@ def open_links(posts: DataFrame, hubs: DataFrame, told: DataFrame, labels: DataF
     lists = stored(lists.select("window", "least"), "neardup-open-lists")
     best = F.greatest("least", F.col("common"))  # a partner has at least as many windows as it shares
     live = named.join(lists.hint("merge"), "window").filter(100 * F.col("common") >= similar * (F.col("n") + best - F.col("common")))
-    live = live.join(hubs.hint("merge"), "window").join(told.select(F.col("a").alias("cls"), F.col("b").alias("hub"), "bits", "rest").hint("merge"), ["cls", "hub"])
-    live = stored(live.select("window", "cls", "n", "common", "label", "bits", "rest"), "neardup-open")
+    live = live.join(hubs.hint("merge"), "window").join(told.select(F.col("a").alias("cls"), F.col("b").alias("hub"), "bits", "rest", "sig").hint("merge"), ["cls", "hub"])
+    live = stored(live.select("window", "cls", "n", "common", "label", "bits", "rest", "sig"), "neardup-open")
     a, b = live.alias("a"), live.alias("b")
     fair = (F.col("a.window") == F.col("b.window")) & (F.col("a.cls") < F.col("b.cls")) & (F.col("a.label") != F.col("b.label"))
     fair = fair & possible(F.col("a.n"), F.col("a.common"), F.col("b.n"), F.col("b.common"), similar)
     in_hub = F.aggregate(F.zip_with("a.bits", "b.bits", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda n, x: n + x)
     both = in_hub + F.size(F.array_intersect("a.rest", "b.rest"))
-    fair = fair & (100 * both >= similar * (F.col("a.n") + F.col("b.n") - both))
+    fair = fair & (100 * both >= similar * (F.col("a.n") + F.col("b.n") - both)) & (collisions("a.sig", "b.sig") >= matches)
     return a.join(b.hint("merge"), fair).select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct()
 
 
@@ -244,7 +250,7 @@ def class_components(docs: DataFrame, prints: DataFrame, similar: int = SIMILAR,
     told = stored(overlaps(pairs, sets, similar, matches), "neardup-told")
     links = stored(told.filter("linked AND a <> b").select("a", "b"), "neardup-first-links")
     labels = components(links, "neardup-first")
-    more = stored(open_links(posts, hubs, told, labels, similar), "neardup-more")
+    more = stored(open_links(posts, hubs, told, labels, similar, matches), "neardup-more")
     if not more.isEmpty():
         labels = components(stored(links.union(more), "neardup-links"), "neardup-all")
     return labels.select(F.col("node").alias("cls"), F.col("label").alias("component"))
@@ -282,11 +288,14 @@ def distinct_documents(docs: DataFrame, similar: int = SIMILAR, matches: int = M
     kept = stored(kept.toDF("_id", "_exact", "_again"), "neardup-kept")
 
     def held(ids: DataFrame) -> DataFrame:
-        return docs.join(ids.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & exact_text().eqNullSafe(F.col("_exact")), "left_semi")
+        # Packed, so that columns of any name can come along.
+        rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs["doc_id"].cast("long").alias("doc_id"), "text", exact_text().alias("_text"))
+        return rows.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_text").eqNullSafe(F.col("_exact")), "left_semi")
 
     # A second pass, and a shuffle of these texts, only if there are such rows.
     again = kept.filter("_again")
-    return held(kept) if again.isEmpty() else held(kept.filter("NOT _again")).unionByName(held(again).dropDuplicates(["doc_id", "text"]))
+    rows = held(kept) if again.isEmpty() else held(kept.filter("NOT _again")).unionByName(held(again).dropDuplicates(["doc_id", "text"]))
+    return rows.select("_row.*")
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ def test_wu_manber_finds_what_comparison_finds():
         assert set(decontamination.WuManber(length, numbered).find(text)) == expected
 
 
-def brute_components(docs):
+def brute_components(docs, similar=85):
     sets = {i: set(zip(*[t[j:] for j in range(5)])) if len(t) >= 5 else ({tuple(t)} if t else set()) for i, t in docs.items()}
     label = {i: i for i in sets}
 
@@ -38,7 +38,7 @@ def brute_components(docs):
 
     for i in sets:
         for j in sets:
-            if i < j and sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+            if i < j and sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= similar * len(sets[i] | sets[j]):
                 a, b = find(i), find(j)
                 label[max(a, b)] = min(a, b)
     return {i: (len(sets[i]), find(i)) for i in sets}
@@ -207,7 +207,7 @@ def test_pipeline_equals_plain_stages(spark):
     t = pq.read_table(f"{SMALL}/documents.parquet", columns=["doc_id", "text", "source"]).to_pydict()
     docs = {i: (x, s) for i, x, s in zip(t["doc_id"], t["text"], t["source"]) if x and any(c.isalpha() for c in x)}
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    copies = brute_components({i: x.translate(lower).split() for i, (x, _) in docs.items()})
+    copies = brute_components({i: x.translate(lower).split() for i, (x, _) in docs.items()}, 80)
     docs = {i: d for i, d in docs.items() if copies[i][1] == i}
     items = pq.read_table(f"{SMALL}/benchmark.parquet").to_pydict()["text"]
     windows = {tuple(w[i : i + 10]) for w in map(decontamination.word_list, items) for i in range(max(1, len(w) - 9))}

@@ -1,9 +1,13 @@
 """Cases in which an operator once did less than the whole job."""
 
+from collections import Counter
+
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_fixtures import workers_can_import  # noqa: F401
-from snapline.llm import chat, neardup, secrets
+from snapline.llm import chat, mixing, neardup, secrets
 
 CALLS = "conv_id string, turn long, call_id string, name string, arguments string, after string"
 
@@ -57,3 +61,55 @@ def test_secrets_beside_a_base_span_are_found(spark):
     found = {i: [texts[i][s["start"] : s["finish"]].strip("/=") for s in r["added"]] for i, r in rows.items()}
     assert found == {0: [secret], 1: [secret + secret[:16]], 2: [secret, secret[::-1]], 3: []}
     assert [[s["hit"] for s in rows[i]["base"]] for i in range(4)] == [[hexes], [access], [hexes], [hexes]]
+
+
+def test_links_all_collide_as_often_as_asked(spark):
+    """A chain of shifted texts: with a high threshold nothing that collides less may be linked, in the first step or after it."""
+    words = [f"w{i}" for i in range(400)]
+    docs = spark.createDataFrame([(i, " ".join(words[3 * i : 3 * i + 110])) for i in range(60)], "doc_id long, text string")
+    prints = {r["doc_id"]: np.array(r["sig"]) for r in neardup.fingerprints(docs).collect()}
+    sets = {i: set(neardup.shingles(neardup.word_list(" ".join(words[3 * i : 3 * i + 110])), neardup.WordHashes()).tolist()) for i in prints}
+    for matches in (15, 27, 31):
+        label = {i: i for i in prints}
+        for _ in prints:
+            for i in prints:
+                for j in prints:
+                    if (prints[i] == prints[j]).sum() >= matches and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                        label[i] = label[j] = min(label[i], label[j])
+        found = {r["doc_id"]: r["component_id"] for r in neardup.near_copies(docs, 80, matches).collect()}
+        assert found == label
+
+
+def test_distinct_documents_take_any_column_name(spark):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (2, "a b c d e f g"), (3, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(["_id", "_exact", "_again", "_row", "_text"])])
+    kept = neardup.distinct_documents(docs)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("case", ["no id", "one id", "unlike sizes", "some ids"])
+def test_mix_takes_what_is_due_of_rows_without_own_ids(spark, case):
+    """Within one document of each target, whatever ids the rows have, and the mix itself holds just these words."""
+    rows = []
+    for source, n in (("a", 1000), ("b", 500), (None, 40), ("c", 300)):
+        for i in range(n):
+            doc_id = {"no id": None, "one id": 7, "unlike sizes": None, "some ids": i if i % 3 else None}[case]
+            size = 10 if case in ("no id", "one id") else 1 + i % 23
+            rows.append((doc_id, " ".join(["w"] * size), source))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    mixed = mixing.mix(docs).collect()
+    assert len(mixed) == len(rows) and mixed.__len__() == docs.count()
+    taken, target, largest = Counter(), {}, Counter()
+    for r in mixed:
+        source = r["source"]
+        taken[source] += r["taken"]
+        target[source] = r["target"]
+        largest[source] = max(largest[source], r["size"])
+        assert r["taken"] % r["size"] == 0 and r["taken"] <= 3 * r["size"]
+    assert all(abs(taken[s] - target[s]) <= largest[s] for s in target), (taken, target)
+    again = mixing.repeat_rows(docs)
+    words = {r["source"]: r["n"] for r in again.groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("n")).collect()}
+    assert words == {s: n for s, n in taken.items() if n}
+    key = lambda rows: sorted(map(repr, map(tuple, rows)))
+    assert key(mixed) == key(mixing.mix(docs).collect())
