@@ -19,9 +19,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies, of similarity 0.8 or more, stays."""
     importable(spark)
-    return neardup.distinct_documents(docs)
+    return neardup.distinct_documents(docs, 80, 12)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
