@@ -406,6 +406,14 @@ FROM plays
 """
 
 
+# A play more than six hours after the one before it opens a session.
+SESSIONS = """SELECT game_id, min(event_timestamp) AS session_start, min(event_timestamp) AS first_play, max(event_timestamp) AS last_play, count(*) AS plays,
+  CAST(sum(yards_gained) AS BIGINT) AS yards, count(*) FILTER (is_touchdown) AS touchdowns
+FROM (SELECT *, sum(opens) OVER (PARTITION BY game_id ORDER BY event_timestamp, play_id ROWS UNBOUNDED PRECEDING) AS session
+  FROM (SELECT *, CASE WHEN event_timestamp - lag(event_timestamp) OVER (PARTITION BY game_id ORDER BY event_timestamp, play_id) <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM plays))
+GROUP BY game_id, session"""
+
+
 def _texts() -> dict[str, tuple[list[str], str]]:
     """Name -> (views used, final SELECT)."""
     return {
@@ -584,6 +592,9 @@ def _texts() -> dict[str, tuple[list[str], str]]:
         "stream_tracking_derived": (["motion"], MOTION_SELECT),
         "stream_dedup": (["plays"], f"SELECT {PLAY_NAMES} FROM plays"),
         "stream_silver": (["silver"], SILVER_SELECT),
+        "play_sessions": (["plays"], SESSIONS),
+        "stream_play_sessions": (["plays"], SESSIONS),
+        "stream_tracking_keyed": (["motion"], MOTION_SELECT),
     }
 
 

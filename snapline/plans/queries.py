@@ -18,7 +18,7 @@ from snapline.plans import derived
 from snapline.schemas import BRONZE_TRACKING_COLUMNS, CLUSTER_BY, PLAY_KEY, PLAY_SCHEMA, REQUIRED_PLAY_COLUMNS, TRACKING_SCHEMA
 from snapline.session import work_dir
 from snapline.sources import tables
-from snapline.streaming import replay
+from snapline.streaming import replay, sessions
 
 AS_OF = dt.date(2024, 1, 31)
 DIGITS = 6
@@ -377,6 +377,18 @@ def stream_tracking_derived(i: Inputs) -> DataFrame:
     return replay.tracking_derived(i.spark, i.sf_dir).select(*tracking_derived_columns())
 
 
+def stream_tracking_keyed(i: Inputs) -> DataFrame:
+    return replay.tracking_derived(i.spark, i.sf_dir, keyed=True).select(*tracking_derived_columns())
+
+
+def stream_play_sessions(i: Inputs) -> DataFrame:
+    return replay.sessions(i.spark, i.sf_dir).drop("event_date")
+
+
+def play_sessions(i: Inputs) -> DataFrame:
+    return sessions.play_sessions(i.plays)
+
+
 def tracking_derived_columns() -> list[str]:
     return [
         "player_id", "frame_id", "prev_x", "prev_y", "prev_timestamp", "prev_speed", "distance_traveled",
@@ -403,6 +415,7 @@ BUILDERS: list[Callable[[Inputs], DataFrame]] = [
     play_sequences, plays_ordered, play_effectiveness, win_probability, team_daily_stats, wpa_by_play_type,
     top_pressure, eyg_historical, check_freshness, check_lag, check_gold,
     stream_bronze_plays, stream_bronze_tracking, stream_tracking_derived, stream_dedup, stream_silver,
+    play_sessions, stream_play_sessions, stream_tracking_keyed,
 ]
 
 

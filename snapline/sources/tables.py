@@ -55,6 +55,34 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder, on whatever file system holds it; the folder above the target is made."""
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    system = paths(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(paths(target).getParent())
+    if not system.rename(paths(source), paths(target)):
+        raise OSError(f"could not rename {source} to {target}")
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jpath)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, none if it is not there."""
+    if not table_exists(spark, path):
+        return []
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jpath)
+    return [f.getPath().getName() for f in found if f.isDirectory()]
+
+
 def with_event_date(df: DataFrame, column: str = "event_timestamp") -> DataFrame:
     return df.withColumn(PARTITION, F.to_date(column))
 
