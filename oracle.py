@@ -406,6 +406,18 @@ FROM plays
 """
 
 
+# The finest level with 20 plays or more; the mean of all else.
+EYG_LEVELS = """
+SELECT p.game_id, p.play_id, CAST(b.level AS INT) AS level, b.e AS expected_yards_gained, b.n AS history_plays, p.yards_gained - b.e AS yards_over_expected
+FROM classed p, LATERAL (SELECT 4 AS level, avg(h.yards_gained) AS e, count(h.yards_gained) AS n FROM classed h WHERE h.pc = p.pc AND h.dc = p.dc AND h.sc = p.sc AND h.zc = p.zc
+  UNION ALL SELECT 3, avg(h.yards_gained), count(h.yards_gained) FROM classed h WHERE h.pc = p.pc AND h.dc = p.dc AND h.sc = p.sc
+  UNION ALL SELECT 2, avg(h.yards_gained), count(h.yards_gained) FROM classed h WHERE h.pc = p.pc AND h.dc = p.dc
+  UNION ALL SELECT 1, avg(h.yards_gained), count(h.yards_gained) FROM classed h WHERE h.pc = p.pc
+  UNION ALL SELECT 0, avg(h.yards_gained), count(h.yards_gained) FROM classed h) b
+WHERE b.level = 0 OR b.n >= 20
+QUALIFY row_number() OVER (PARTITION BY p.game_id, p.play_id ORDER BY b.level DESC) = 1
+"""
+
 # A play more than six hours after the one before it opens a session.
 SESSIONS = """SELECT game_id, min(event_timestamp) AS session_start, min(event_timestamp) AS first_play, max(event_timestamp) AS last_play, count(*) AS plays,
   CAST(sum(yards_gained) AS BIGINT) AS yards, count(*) FILTER (is_touchdown) AS touchdowns
@@ -416,7 +428,7 @@ GROUP BY game_id, session"""
 
 def _texts() -> dict[str, tuple[list[str], str]]:
     """Name -> (views used, final SELECT)."""
-    return {
+    texts = {
         "scan_date_range": (["bronze"], f"{BRONZE_SELECT} WHERE CAST(event_timestamp AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'"),
         "scan_lookback": (["bronze"], f"{BRONZE_SELECT} WHERE CAST(event_timestamp AS DATE) >= DATE '2024-01-31' - INTERVAL 10 DAY"),
         "scan_yesterday": (["bronze"], f"{BRONZE_SELECT} WHERE CAST(event_timestamp AS DATE) = DATE '2024-01-30'"),
@@ -595,7 +607,11 @@ def _texts() -> dict[str, tuple[list[str], str]]:
         "play_sessions": (["plays"], SESSIONS),
         "stream_play_sessions": (["plays"], SESSIONS),
         "stream_tracking_keyed": (["motion"], MOTION_SELECT),
+        "stream_progress": ([], "SELECT 'bronze_plays' AS query, CAST(count(*) + 1 AS BIGINT) AS rows_read FROM events"),
+        "eyg_backed_off": (["plays", "classed"], f"SELECT game_id, play_id, level, history_plays, {r6('expected_yards_gained', 'yards_over_expected')} FROM ({EYG_LEVELS})"),
     }
+    same = {"daily_bucketed": "team_daily_stats", "games_from_days": "game_aggregates", "weeks_from_days": "weekly_moving_avg"}
+    return texts | {name: texts[other] for name, other in same.items()}
 
 
 VIEWS["classed"] = CLASSED

@@ -214,6 +214,44 @@ def add_historical_expected_yards(plays: DataFrame, history: DataFrame) -> DataF
     )
 
 
+#: Situations from the finest to none; each level groups by the first so many classes.
+LEVELS = ["play_class", "down_class", "distance_class", "zone_class"]
+
+
+def historical_levels(silver: DataFrame) -> DataFrame:
+    """Mean yards gained at every level of detail, in one pass by grouping sets: ``level`` classes are given, the others are NULL.
+
+    At most 400 + 100 + 25 + 5 + 1 rows.
+    """
+    sets = [[F.col(c) for c in LEVELS[:n]] for n in range(len(LEVELS), -1, -1)]
+    rows = silver.select(*[c.alias(name) for name, c in _situation_class().items()], "yards_gained")
+    level = sum((F.lit(1) - F.grouping(c) for c in LEVELS), F.lit(0))
+    return rows.groupingSets(sets, *LEVELS).agg(
+        level.cast("int").alias("level"), F.avg("yards_gained").alias("expected_yards_gained"), F.count("yards_gained").alias("history_plays")
+    )
+
+
+def add_backed_off_expected_yards(plays: DataFrame, levels: DataFrame, min_plays: int = 20) -> DataFrame:
+    """Expected yards from the finest level that knows at least ``min_plays`` plays; the mean of all where none does.
+
+    A class that history has never seen still gets a value. ``levels`` comes from ``historical_levels``, whose size is bounded by its classes, so
+    its five parts are broadcast.
+    """
+    rows = plays.withColumns(_situation_class())
+    for n in range(len(LEVELS) + 1):
+        part = levels.filter((F.col("level") == n) & ((F.col("history_plays") >= min_plays) | (F.lit(n) == 0)))
+        found = F.struct("expected_yards_gained", "history_plays", F.lit(n).alias("level")).alias(f"_level{n}")
+        part = part.select(*LEVELS[:n], found)
+        rows = rows.join(F.broadcast(part), LEVELS[:n], "left") if n else rows.join(F.broadcast(part.limit(1)), how="left")
+    best = F.coalesce(*[f"_level{n}" for n in range(len(LEVELS), -1, -1)])
+    rows = rows.withColumn("_best", best).drop(*[f"_level{n}" for n in range(len(LEVELS) + 1)])
+    expected = F.col("_best.expected_yards_gained")
+    return rows.select(
+        *plays.columns, *LEVELS, expected.alias("expected_yards_gained"), F.col("_best.history_plays").alias("history_plays"),
+        F.col("_best.level").alias("level"), (F.col("yards_gained") - expected).alias("yards_over_expected"),
+    )
+
+
 def join_game_context(plays: DataFrame, context: DataFrame) -> DataFrame:
     """Left join of per-game context. No broadcast hint: Spark broadcasts it below its size threshold and
     otherwise splits hot games by the adaptive skew join."""

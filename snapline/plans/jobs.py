@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from snapline.operators import features, gold, history, quality
 from snapline.schemas import BRONZE_PLAY_SCHEMA, BRONZE_TRACKING_SCHEMA, CLUSTER_BY
 from snapline.sources import tables
+from snapline.sources.bucketed import write_bucketed_days
 from snapline.sources.messages import table_stream
 from snapline.streaming import bronze
 from snapline.streaming.silver import far_frames, silver_stream
@@ -85,6 +86,25 @@ def run_history(spark: SparkSession, layout: Layout, start: dt.date, end: dt.dat
     }
 
 
+def run_history_days(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date) -> dict[str, int]:
+    """Partial sums of the days of a range, then games and weeks merged from the partials of all days; returns rows written.
+
+    Silver is read for these days only. A late day replaces its own partials, and games and weeks that lie in several ranges are merged
+    whole. Partials are one row per day, game and team, so merging them all stays far below reading silver again; ranks compare all games
+    in any case. Days of the range that have no rows any more keep their partials.
+    """
+    silver = tables.scan_date_range(read_silver(spark, layout), start, end)
+    path = layout.path("gold_day_partials")
+    written = {"gold_day_partials": tables.write_days(history.day_partials(silver), path, tables.PARTITION, ["game_id"])}
+    partials = tables.read_table(spark, path)
+    games = history.team_rankings(history.games_from_partials(partials))
+    weeks = history.moving_averages(history.weeks_from_partials(partials))
+    return written | {
+        "gold_games": tables.write_table(games, layout.path("gold_games")),
+        "gold_weeks": tables.write_table(weeks, layout.path("gold_weeks")),
+    }
+
+
 def run_features(spark: SparkSession, layout: Layout, as_of: dt.date, lookback: int = 30, days: int = 1) -> int:
     """Features of the ``days`` days before ``as_of``; the days before these, back to ``lookback``, only fill their windows.
 
@@ -96,6 +116,19 @@ def run_features(spark: SparkSession, layout: Layout, as_of: dt.date, lookback:
     return tables.write_days(rows, layout.path("gold_ml_features"), tables.PARTITION, ["game_id"])
 
 
+def run_gold_bucketed(spark: SparkSession, layout: Layout, as_of: dt.date, buckets: int = 64) -> dict[str, int]:
+    """Effectiveness and win probability of the day before ``as_of`` in tables bucketed by play, and team statistics joined without an exchange.
+
+    The tables are named in the session's catalog; give the same number of buckets in every run.
+    """
+    silver = tables.scan_yesterday(read_silver(spark, layout), as_of)
+    made = {"gold_play_effectiveness_bucketed": gold.play_effectiveness(silver), "gold_win_probability_bucketed": gold.win_probability(silver)}
+    written = {name: write_bucketed_days(df, name, layout.path(name), "game_date", buckets) for name, df in made.items()}
+    stats = gold.team_daily_stats(*[spark.table(name) for name in made], as_of)
+    written["gold_team_daily_stats"] = tables.write_days(stats, layout.path("gold_team_daily_stats"), "stat_date", CLUSTER_BY["gold_team_daily_stats"])
+    return written
+
+
 def run_gold(spark: SparkSession, layout: Layout, as_of: dt.date, min_plays: float = 50) -> dict[str, int]:
     """Effectiveness, win probability, team statistics and snapshot of the day before ``as_of``.
 

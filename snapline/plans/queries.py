@@ -18,10 +18,12 @@ from snapline.plans import derived
 from snapline.schemas import BRONZE_TRACKING_COLUMNS, CLUSTER_BY, PLAY_KEY, PLAY_SCHEMA, REQUIRED_PLAY_COLUMNS, TRACKING_SCHEMA
 from snapline.session import work_dir
 from snapline.sources import tables
+from snapline.sources.bucketed import write_bucketed_days
 from snapline.streaming import replay, sessions
 
 AS_OF = dt.date(2024, 1, 31)
 DIGITS = 6
+BUCKETS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -350,6 +352,31 @@ def eyg_historical(i: Inputs) -> DataFrame:
     return added.select(*PLAY_KEY, "expected_yards_gained", "history_plays", "yards_over_expected")
 
 
+def eyg_backed_off(i: Inputs) -> DataFrame:
+    added = gold.add_backed_off_expected_yards(i.plays, gold.historical_levels(i.plays))
+    return added.select(*PLAY_KEY, "level", "expected_yards_gained", "history_plays", "yards_over_expected")
+
+
+def daily_bucketed(i: Inputs) -> DataFrame:
+    """Team statistics of effectiveness and win probability stored in buckets of the play key."""
+    folder = work_dir(i.spark, "bucketed")
+    made = {"effectiveness": gold.play_effectiveness(i.silver), "win_probability": i.win_probability}
+    names = []
+    for name, df in made.items():
+        names.append(f"{name}_{folder.rsplit('-', 1)[-1].lower()}".replace("-", "_"))
+        write_bucketed_days(df, names[-1], f"{folder}/{name}", "game_date", BUCKETS)
+    return gold.team_daily_stats(*[i.spark.table(name) for name in names])
+
+
+def games_from_days(i: Inputs) -> DataFrame:
+    """Games merged from partial sums per day."""
+    return history.games_from_partials(history.day_partials(i.silver))
+
+
+def weeks_from_days(i: Inputs) -> DataFrame:
+    return history.moving_averages(history.weeks_from_partials(history.day_partials(i.silver)))
+
+
 def check_freshness(i: Inputs) -> DataFrame:
     return quality.check_freshness(i.bronze, dt.date(2024, 1, 30))
 
@@ -389,6 +416,10 @@ def play_sessions(i: Inputs) -> DataFrame:
     return sessions.play_sessions(i.plays)
 
 
+def stream_progress(i: Inputs) -> DataFrame:
+    return replay.progress(i.spark, i.sf_dir).groupBy("query").agg(F.sum("rows_read").alias("rows_read"))
+
+
 def tracking_derived_columns() -> list[str]:
     return [
         "player_id", "frame_id", "prev_x", "prev_y", "prev_timestamp", "prev_speed", "distance_traveled",
@@ -415,7 +446,8 @@ BUILDERS: list[Callable[[Inputs], DataFrame]] = [
     play_sequences, plays_ordered, play_effectiveness, win_probability, team_daily_stats, wpa_by_play_type,
     top_pressure, eyg_historical, check_freshness, check_lag, check_gold,
     stream_bronze_plays, stream_bronze_tracking, stream_tracking_derived, stream_dedup, stream_silver,
-    play_sessions, stream_play_sessions, stream_tracking_keyed,
+    play_sessions, stream_play_sessions, stream_tracking_keyed, stream_progress,
+    eyg_backed_off, daily_bucketed, games_from_days, weeks_from_days,
 ]
 
 
