@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from snapline.session import work_dir
+
 PARTITION = "event_date"
 
 
@@ -125,3 +127,36 @@ def kv_snapshot(stats: DataFrame, as_of: dt.datetime, ttl_seconds: int = 86_400)
         F.to_json("s").alias("value_json"),
         expires.alias("expires_at"),
     )
+
+
+KEY_PART = "key_part"
+
+
+def upsert_snapshot(updates: DataFrame, path: str, as_of: dt.datetime, parts: int = 16) -> dict[str, int]:
+    """Merge entries (cache_key, value_json, expires_at) into a stored snapshot and drop those that have expired by ``as_of``.
+
+    Keys lie in ``parts`` folders by hash. Only folders with an update or an expired entry are read whole and written again; the
+    others keep their files. Of several updates of a key the one that expires last wins. The same call again changes nothing, so it
+    may stand in ``foreachBatch``. New content is stored aside first, since a table cannot be read and replaced at once.
+    """
+    spark = updates.sparkSession
+    now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+    part = F.pmod(F.xxhash64("cache_key"), F.lit(parts)).cast("int").alias(KEY_PART)
+    new = updates.select("cache_key", "value_json", F.col("expires_at").cast("timestamp_ntz").alias("expires_at"), part, F.lit(1).alias("_new"))
+    touched = {r[0] for r in new.select(KEY_PART).distinct().collect()}  # at most ``parts``
+    rows = new
+    if table_exists(spark, path):
+        held = spark.read.parquet(path).select(*new.columns[:-1], F.lit(0).alias("_new"))
+        touched |= {r[0] for r in held.filter(F.col("expires_at") <= now).select(KEY_PART).distinct().collect()}
+        rows = held.filter(F.col(KEY_PART).isin(sorted(touched))).unionByName(new)
+    best = F.max_by(F.struct("value_json", "expires_at"), F.struct("_new", "expires_at", "value_json")).alias("s")
+    merged = rows.groupBy(KEY_PART, "cache_key").agg(best).select("cache_key", "s.value_json", "s.expires_at", KEY_PART).filter(F.col("expires_at") > now)
+    aside = work_dir(spark, "snapshot")
+    merged.write.parquet(aside)
+    staged = spark.read.schema(merged.schema).parquet(aside)
+    counts = {r[0]: r[1] for r in staged.groupBy(KEY_PART).count().collect()}
+    staged.repartition(KEY_PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(KEY_PART).parquet(path)
+    for empty in touched - counts.keys():
+        remove_folder(spark, f"{path}/{KEY_PART}={empty}")
+    remove_folder(spark, aside)
+    return {"parts": len(touched), "entries": sum(counts.values())}
