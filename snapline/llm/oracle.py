@@ -126,27 +126,33 @@ def _quoted(pattern: str) -> str:
     return pattern.replace("'", "''")
 
 
-def _matches(name: str, pattern: str, kind: int) -> str:
+def _matches(name: str, pattern: str, kind: int, texts: str = "d") -> str:
     """Spans of all matches: the i-th begins after the gaps up to it and the matches before it."""
     p = _quoted(pattern)
     return rf"""{name} AS (SELECT r, {kind} AS kind, start, start + length(hit) AS finish, hit FROM (
   SELECT r, hits[i] AS hit, coalesce(list_sum(list_transform(gaps[1:i], lambda g: length(g))), 0) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0) AS start
   FROM (SELECT r, gaps, hits, unnest(range(1, len(hits) + 1)) AS i
-    FROM (SELECT r, regexp_split_to_array(t, '{p}') AS gaps, regexp_extract_all(t, '{p}') AS hits FROM d))))"""
+    FROM (SELECT r, regexp_split_to_array(t, '{p}') AS gaps, regexp_extract_all(t, '{p}') AS hits FROM {texts}))))"""
 
 
-_classes = " ".join(f"WHEN regexp_matches(hit, '{shape}') THEN CAST({least} AS DOUBLE)" for _, shape, _, least in secrets.CLASSES)
+_classes = " ".join(f"WHEN regexp_matches(hit, '{shape}') THEN CAST({least} AS DOUBLE)" for _, shape, least in secrets.CLASSES)
 
 OP3 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
 {_matches("assigned", secrets.ASSIGN, 0)},
 {_matches("access", secrets.ACCESS, 1)},
 {_matches("hexes", secrets.HEX, 2)},
-{_matches("candidates", secrets.CANDIDATE, 3)},
 base AS (SELECT r, kind, start, finish FROM assigned WHERE length(regexp_extract(hit, '{_quoted(secrets.ASSIGN)}', 1)) >= 6
   UNION ALL SELECT r, kind, start, finish FROM access UNION ALL SELECT r, kind, start, finish FROM hexes),
-fair AS (SELECT * FROM candidates c WHERE NOT regexp_matches(hit, '{"|".join(secrets.ALLOWED)}')
-  AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = c.r AND b.start < c.finish AND c.start < b.finish)),
+covered AS (SELECT DISTINCT r, unnest(range(CAST(start AS BIGINT), CAST(finish AS BIGINT))) AS i FROM base),
+letters AS (SELECT r, t, unnest(range(0, length(t))) AS i FROM d WHERE r IN (SELECT r FROM base)),
+blanked AS (SELECT l.r, string_agg(CASE WHEN c.i IS NULL THEN substring(t, CAST(l.i + 1 AS BIGINT), 1) ELSE ' ' END, '' ORDER BY l.i) AS t
+  FROM letters l LEFT JOIN covered c ON c.r = l.r AND c.i = l.i GROUP BY l.r),
+shown AS (SELECT r, t FROM blanked UNION ALL SELECT r, t FROM d WHERE r NOT IN (SELECT r FROM base)),
+{_matches("candidates", secrets.CANDIDATE, 3, "shown")},
+fair AS (SELECT * FROM candidates WHERE NOT regexp_matches(hit, '{"|".join(x for x in secrets.ALLOWED if x != secrets.SLUG)}')
+  AND NOT (regexp_matches(hit, '{secrets.SLUG}') AND len(list_filter(string_split_regex(hit, '[^a-z0-9]+'), lambda x:
+    (length(x) >= 16 AND regexp_matches(x, '[0-9]') AND regexp_matches(x, '[a-z]')) OR (length(x) >= 8 AND regexp_matches(x, '[0-9][a-z]+[0-9]')))) = 0)),
 chars AS (SELECT r, start, hit, pos, substring(hit, CAST(pos + j AS BIGINT), 1) AS c
   FROM (SELECT r, start, hit, pos, unnest(range(1, {secrets.SPAN + 1})) AS j FROM (SELECT r, start, hit, unnest(range(0, length(hit) - {secrets.SPAN} + 1)) AS pos FROM fair))),
 entropy AS (SELECT r, start, hit, pos, -sum(n / CAST({secrets.SPAN} AS DOUBLE) * log2(n / CAST({secrets.SPAN} AS DOUBLE))) AS bits
