@@ -607,10 +607,16 @@ def _texts() -> dict[str, tuple[list[str], str]]:
         "play_sessions": (["plays"], SESSIONS),
         "stream_play_sessions": (["plays"], SESSIONS),
         "stream_tracking_keyed": (["motion"], MOTION_SELECT),
+        "daily_bucketed": (["daily"], f"SELECT stat_date, team, total_plays, run_plays, pass_plays, red_zone_plays, {r6('avg_yards_per_play', 'success_rate', 'red_zone_success_rate')} FROM daily"),
+        "table_compacted": (["plays"], f"SELECT {PLAY_NAMES} FROM plays"),
+        "log_replay": (["plays"], f"SELECT {PLAY_NAMES} FROM plays WHERE CAST(substring(play_id, 2) AS BIGINT) >= 100"),
+        "snapshot_upsert": (["daily"], """SELECT concat('team_stats:', team) AS cache_key,
+            CASE WHEN CAST(substring(team, 2) AS INT) % 2 = 0 THEN TIMESTAMP '2024-02-01 12:00:00' ELSE TIMESTAMP '2024-02-01 00:00:00' END AS expires_at,
+            max(stat_date) AS stat_date, max_by(total_plays, stat_date) AS total_plays FROM daily GROUP BY team"""),
         "stream_progress": ([], "SELECT 'bronze_plays' AS query, CAST(count(*) + 1 AS BIGINT) AS rows_read FROM events"),
         "eyg_backed_off": (["plays", "classed"], f"SELECT game_id, play_id, level, history_plays, {r6('expected_yards_gained', 'yards_over_expected')} FROM ({EYG_LEVELS})"),
     }
-    same = {"daily_bucketed": "team_daily_stats", "games_from_days": "game_aggregates", "weeks_from_days": "weekly_moving_avg"}
+    same = {"games_from_days": "game_aggregates", "weeks_from_days": "weekly_moving_avg"}
     return texts | {name: texts[other] for name, other in same.items()}
 
 

@@ -6,7 +6,7 @@ with the table. Both are plain projections; a filter on time still reaches the P
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PLAYERS = 8
@@ -105,7 +105,11 @@ def with_zone(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("timestamp") for name in plain})
 
 
-def as_messages(df: DataFrame) -> DataFrame:
-    """Rows as JSON messages with ISO-8601 times to the microsecond."""
+def message(columns: list[str]) -> Column:
+    """A row as a JSON message with ISO-8601 times to the microsecond."""
     options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-    return with_zone(df).select(F.to_json(F.struct("*"), options).alias("value"))
+    return F.to_json(F.struct(*columns), options).alias("value")
+
+
+def as_messages(df: DataFrame) -> DataFrame:
+    return with_zone(df).select(message(df.columns))

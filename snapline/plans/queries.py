@@ -17,13 +17,16 @@ from snapline.operators import features, gold, history, plays, quality, silver,
 from snapline.plans import derived
 from snapline.schemas import BRONZE_TRACKING_COLUMNS, CLUSTER_BY, PLAY_KEY, PLAY_SCHEMA, REQUIRED_PLAY_COLUMNS, TRACKING_SCHEMA
 from snapline.session import work_dir
-from snapline.sources import tables
+from snapline.sources import compaction, log, tables
 from snapline.sources.bucketed import write_bucketed_days
-from snapline.streaming import replay, sessions
+from snapline.streaming import bronze, replay, sessions
 
 AS_OF = dt.date(2024, 1, 31)
 DIGITS = 6
 BUCKETS = 8
+COMPACTED = [dt.date(2024, 1, 9), dt.date(2024, 1, 10), dt.date(2024, 1, 11)]
+FROM_OFFSET = 100
+EXACT = ["total_plays", "run_plays", "pass_plays", "avg_yards_per_play", "success_rate", "red_zone_plays", "red_zone_success_rate"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -358,14 +361,56 @@ def eyg_backed_off(i: Inputs) -> DataFrame:
 
 
 def daily_bucketed(i: Inputs) -> DataFrame:
-    """Team statistics of effectiveness and win probability stored in buckets of the play key."""
+    """Team statistics of effectiveness and win probability stored in buckets of the play key.
+
+    Only measures whose sums are exact: the order of summation differs from the other form, and with it the last digit of the others.
+    """
     folder = work_dir(i.spark, "bucketed")
     made = {"effectiveness": gold.play_effectiveness(i.silver), "win_probability": i.win_probability}
     names = []
     for name, df in made.items():
         names.append(f"{name}_{folder.rsplit('-', 1)[-1].lower()}".replace("-", "_"))
         write_bucketed_days(df, names[-1], f"{folder}/{name}", "game_date", BUCKETS)
-    return gold.team_daily_stats(*[i.spark.table(name) for name in names])
+    stats = gold.team_daily_stats(*[i.spark.table(name) for name in names])
+    return stats.select("stat_date", "team", *EXACT)
+
+
+def table_compacted(i: Inputs) -> DataFrame:
+    """Plays in micro-batches, three days of them compacted before the last batch comes, read as one table."""
+    path = f"{work_dir(i.spark, 'compacted')}/plays"
+    rows = tables.with_event_date(i.plays)
+    batch = F.pmod(F.hash("play_id"), F.lit(3))
+    for number in range(3):
+        bronze.write_batch(rows.filter(batch == number), path, number)
+        if number == 1:
+            for day in COMPACTED:
+                compaction.compact_day(i.spark, path, day, CLUSTER_BY["bronze_plays"], files=2)
+    return compaction.read_compacted(i.spark, path).select(*PLAY_SCHEMA.fieldNames())
+
+
+def log_replay(i: Inputs) -> DataFrame:
+    """Plays as messages of a log, streamed from an offset on and decoded."""
+    folder = work_dir(i.spark, "log")
+    events = i.table("events")
+    numbered = derived.with_zone(derived.plays_from_events(events)).withColumn("offset", F.substring("play_id", 2, 20).cast("long"))
+    messages = numbered.select("offset", derived.message(PLAY_SCHEMA.fieldNames()))
+    log.write_segments(messages, f"{folder}/log", 8)
+    stream = log.log_messages(i.spark, f"{folder}/log", FROM_OFFSET).select("value")
+    out = f"{folder}/plays"
+    bronze.start_append(quality.parse_plays(stream), out, f"{folder}/checkpoints", None).awaitTermination()
+    return i.spark.read.parquet(out).select(*PLAY_SCHEMA.fieldNames())
+
+
+def snapshot_upsert(i: Inputs) -> DataFrame:
+    """A snapshot of all teams, then half a day later new entries for those with an even number."""
+    path = f"{work_dir(i.spark, 'snapshot')}/kv"
+    stats = i.daily.select("team", "stat_date", "total_plays")
+    first, later = dt.datetime(2024, 1, 31), dt.datetime(2024, 1, 31, 12)
+    tables.upsert_snapshot(tables.kv_snapshot(stats, first), path, first)
+    even = stats.filter(F.substring("team", 2, 9).cast("int") % 2 == 0)
+    tables.upsert_snapshot(tables.kv_snapshot(even, later), path, later)
+    value = F.from_json("value_json", "stat_date date, total_plays bigint")
+    return i.spark.read.parquet(path).select("cache_key", "expires_at", value.alias("v")).select("cache_key", "expires_at", "v.stat_date", "v.total_plays")
 
 
 def games_from_days(i: Inputs) -> DataFrame:
@@ -447,7 +492,7 @@ BUILDERS: list[Callable[[Inputs], DataFrame]] = [
     top_pressure, eyg_historical, check_freshness, check_lag, check_gold,
     stream_bronze_plays, stream_bronze_tracking, stream_tracking_derived, stream_dedup, stream_silver,
     play_sessions, stream_play_sessions, stream_tracking_keyed, stream_progress,
-    eyg_backed_off, daily_bucketed, games_from_days, weeks_from_days,
+    eyg_backed_off, daily_bucketed, games_from_days, weeks_from_days, table_compacted, log_replay, snapshot_upsert,
 ]
 
 
