@@ -6,7 +6,9 @@ Each job is a plain function of its inputs; dates are parameters, never the cloc
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from snapline.operators import features, gold, history, quality
 from snapline.schemas import BRONZE_PLAY_SCHEMA, BRONZE_TRACKING_SCHEMA, CLUSTER_BY
+from snapline.session import scratch
 from snapline.sources import tables
 from snapline.sources.bucketed import write_bucketed_days
 from snapline.sources.messages import table_stream
@@ -22,6 +25,17 @@ from snapline.streaming import bronze
 from snapline.streaming.silver import far_frames, silver_stream
 
 
+def in_scratch(job: Callable) -> Callable:
+    """A job that has written its tables when it returns: what it stored on the way is removed then."""
+
+    @wraps(job)
+    def run(spark: SparkSession, *args, **settings):
+        with scratch(spark):
+            return job(spark, *args, **settings)
+
+    return run
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where tables and stream checkpoints live, on storage that all executors share."""
@@ -69,6 +83,7 @@ def read_silver(spark: SparkSession, layout: Layout) -> DataFrame:
     return tables.read_table(spark, layout.path("silver_plays_enriched"))
 
 
+@in_scratch
 def run_history(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date) -> dict[str, int]:
     """Game and week aggregates of a date range; returns rows written.
 
@@ -86,6 +101,7 @@ def run_history(spark: SparkSession, layout: Layout, start: dt.date, end: dt.dat
     }
 
 
+@in_scratch
 def run_history_days(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date) -> dict[str, int]:
     """Partial sums of the days of a range, then games and weeks merged from the partials of all days; returns rows written.
 
@@ -105,6 +121,7 @@ def run_history_days(spark: SparkSession, layout: Layout, start: dt.date, end: d
     }
 
 
+@in_scratch
 def run_features(spark: SparkSession, layout: Layout, as_of: dt.date, lookback: int = 30, days: int = 1) -> int:
     """Features of the ``days`` days before ``as_of``; the days before these, back to ``lookback``, only fill their windows.
 
@@ -116,6 +133,7 @@ def run_features(spark: SparkSession, layout: Layout, as_of: dt.date, lookback:
     return tables.write_days(rows, layout.path("gold_ml_features"), tables.PARTITION, ["game_id"])
 
 
+@in_scratch
 def run_gold_bucketed(spark: SparkSession, layout: Layout, as_of: dt.date, buckets: int = 64) -> dict[str, int]:
     """Effectiveness and win probability of the day before ``as_of`` in tables bucketed by play, and team statistics joined without an exchange.
 
@@ -129,6 +147,7 @@ def run_gold_bucketed(spark: SparkSession, layout: Layout, as_of: dt.date, bucke
     return written
 
 
+@in_scratch
 def run_gold(spark: SparkSession, layout: Layout, as_of: dt.date, min_plays: float = 50) -> dict[str, int]:
     """Effectiveness, win probability, team statistics and snapshot of the day before ``as_of``.
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +26,21 @@ SETTINGS = {
 }
 
 _local_folders: list[tempfile.TemporaryDirectory] = []
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the work folders made inside, once all inside has been written elsewhere; after an error they stay."""
+    folders: list[str] = []
+    outer = _scratch.set(folders)
+    try:
+        yield
+    finally:
+        _scratch.reset(outer)
+    for path in folders:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def build_session(name: str, **settings: str) -> SparkSession:
@@ -39,12 +57,18 @@ def work_dir(spark: SparkSession, name: str) -> str:
     local session may use a temporary folder of its own machine.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    noted = _scratch.get()
     if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        if noted is not None:
+            noted.append(path)
+        return path
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.TemporaryDirectory(prefix=f"snapline-{name}-")
     _local_folders.append(folder)
+    if noted is not None:
+        noted.append(folder.name)
     return folder.name
 
 

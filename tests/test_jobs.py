@@ -1,6 +1,7 @@
 """Messages in, gold out: the jobs in their order over one layout."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,3 +85,23 @@ def test_gold_keeps_other_days(spark, layout):
     assert spark.read.parquet(layout.path("team_stats_snapshot")).count() == second["team_stats_snapshot"]
     with pytest.raises(ValueError):
         jobs.run_gold(spark, layout, dt.date(2024, 1, 21), min_plays=10**6)
+
+
+def test_jobs_leave_no_work_folders(spark, layout, tmp_path, monkeypatch):
+    import tempfile
+
+    from snapline.session import scratch, work_dir
+
+    monkeypatch.setattr(tempfile, "tempdir", str(tmp_path))
+    shared = (spark.conf.get("spark.checkpoint.dir", None) or "").removeprefix("file://")
+    places = [tmp_path, *([Path(shared)] if shared else [])]
+    names = lambda: {f.name for at in places if at.exists() for f in at.iterdir()}
+    before = names()
+    held = lambda: [n for n in names() - before if n.startswith(("snapline-", "ranges-", "ranked-", "numbered-", "kept-"))]
+    assert jobs.run_features(spark, layout, dt.date(2024, 1, 15), 10) > 0
+    jobs.run_history_days(spark, layout, dt.date(2024, 1, 8), dt.date(2024, 1, 9))
+    assert held() == []
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        spark.range(1).write.mode("overwrite").parquet(work_dir(spark, "kept"))
+        raise ZeroDivisionError
+    assert len(held()) == 1  # what a failed job stored can be looked at
