@@ -180,12 +180,15 @@ def top_pressure(
     )
 
 
+PLAY_CLASSES = ["run", "pass", "punt", "field_goal", "other"]
+
+
 def _situation_class() -> dict[str, Column]:
     """Coarse situation; 5 x 5 x 4 x 4 = 400 combinations at most."""
     need, zone = F.col("yards_to_go"), p.field_zone()
-    known = F.col("play_type").isin("run", "pass", "punt", "field_goal")
+    known = F.col("play_type").isin(PLAY_CLASSES[:-1])
     return {
-        "play_class": F.when(known, F.col("play_type")).otherwise("other"),
+        "play_class": F.when(known, F.col("play_type")).otherwise(PLAY_CLASSES[-1]),
         "down_class": F.when(F.col("down").between(1, 4), F.col("down")).otherwise(0),
         "distance_class": F.when(need <= 3, "short").when(need <= 7, "medium").when(need > 7, "long").otherwise("none"),
         "zone_class": F.when(F.col("yard_line").isNull(), "none").otherwise(zone),
@@ -241,8 +244,9 @@ def add_backed_off_expected_yards(plays: DataFrame, levels: DataFrame, min_plays
     for n in range(len(LEVELS) + 1):
         part = levels.filter((F.col("level") == n) & ((F.col("history_plays") >= min_plays) | (F.lit(n) == 0)))
         found = F.struct("expected_yards_gained", "history_plays", F.lit(n).alias("level")).alias(f"_level{n}")
-        part = part.select(*LEVELS[:n], found)
-        rows = rows.join(F.broadcast(part), LEVELS[:n], "left") if n else rows.join(F.broadcast(part.limit(1)), how="left")
+        # The mean of all is given to each class, so that it comes by a key as the others do.
+        part = part.select(*LEVELS[:n], found) if n else part.select(F.explode(F.array(*map(F.lit, PLAY_CLASSES))).alias(LEVELS[0]), found)
+        rows = rows.join(F.broadcast(part), LEVELS[: max(n, 1)], "left")
     best = F.coalesce(*[f"_level{n}" for n in range(len(LEVELS), -1, -1)])
     rows = rows.withColumn("_best", best).drop(*[f"_level{n}" for n in range(len(LEVELS) + 1)])
     expected = F.col("_best.expected_yards_gained")
