@@ -1,13 +1,16 @@
-"""Row-frame windows that do not put a whole group into one task.
+"""Row-frame windows that do not put a huge group into one task.
 
 Sixteen teams mean sixteen window tasks, whatever the size of the table, and one game may hold a third
-of all rows. Every table therefore goes the same way, whatever its size:
+of all rows. So the rows of each group are counted first, from the key columns alone:
 
-1. Rows are range-partitioned by (keys, order) and stored once under the shared work folder, with the number of
-   their partition. The upstream plan runs once, and what follows reads the stored rows.
-2. Only the groups that lie in several partitions are cut; there are fewer of them than partitions.
-3. The rows at the borders of their parts that a neighbour's frame reaches are copied to that neighbour.
-4. One window over (keys, part) computes the columns and the copies are dropped.
+- Groups of up to ``GROUP_ROWS`` rows fit into a task: a plain window over their keys, nothing is stored.
+- The rows of larger groups are stored under the shared work folder, range-partitioned by (keys, order) from there and
+  stored again with the number of their range; the upstream plan runs once for them, and what samples the ranges reads stored rows.
+  Groups that lie in several ranges are cut there, the rows that a neighbour's frame reaches are copied to that neighbour,
+  one window over (keys, part) computes the columns, and the copies are dropped.
+
+Both ways give the same columns for any group, so the limit decides on the work alone. A given number of ``partitions`` sends
+every group the second way.
 
 The order columns must be unique within a group. Comparisons of keys and order stay inside Spark, so neither time zones
 nor the driver's types touch them.
@@ -23,11 +26,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from snapline.session import work_dir
+from snapline.session import remove, work_dir
 
 PART = "__part"
 _COPY = "__copy"
 _NUM = "__num"
+#: Rows that one window task sorts at most, by spilling where it must.
+GROUP_ROWS = 2_000_000
+#: Keys of larger groups that may be broadcast; beyond it they are joined by a shuffle.
+BROADCAST_KEYS = 100_000
 
 
 def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -39,17 +46,35 @@ def _same(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
 
 
+def by_group_size(df: DataFrame, keys: list[str], group_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of groups of at most ``group_rows`` rows, and those of larger groups (None without any)."""
+    spark = df.sparkSession
+    path = work_dir(spark, "large-groups")
+    large = _renamed(df.groupBy(*keys).agg(F.count("*").alias(_NUM)).filter(F.col(_NUM) > group_rows).select(*keys), keys)
+    large.write.parquet(path)
+    stored = spark.read.schema(large.schema).parquet(path)
+    number = stored.count()
+    if not number:
+        remove(spark, path)
+        return df, None
+    large = F.broadcast(stored) if number <= BROADCAST_KEYS else stored
+    return df.join(large, _same(keys), "left_anti"), df.join(large, _same(keys), "left_semi")
+
+
 def stored_in_ranges(df: DataFrame, keys: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
     """The rows in ranges of (keys, order), stored; ``PART`` numbers the ranges.
 
     ``partitions`` is left to the session (and to adaptive coalescing), unless given. Only the job's result depends on where
     the ranges lie: nothing does.
     """
-    by = [F.col(c) for c in (*keys, *order)]
-    ranged = df.repartitionByRange(*by) if partitions is None else df.repartitionByRange(partitions, *by)
-    path = work_dir(df.sparkSession, "ranges")
+    spark, by = df.sparkSession, [F.col(c) for c in (*keys, *order)]
+    once, path = work_dir(spark, "rows"), work_dir(spark, "ranges")
+    df.write.parquet(once)  # finding the ranges reads the rows a second time
+    rows = spark.read.schema(df.schema).parquet(once)
+    ranged = rows.repartitionByRange(*by) if partitions is None else rows.repartitionByRange(partitions, *by)
     ranged.withColumn(PART, F.spark_partition_id()).write.parquet(path)
-    return df.sparkSession.read.schema(df.withColumn(PART, F.lit(0)).schema).parquet(path)
+    remove(spark, once)
+    return spark.read.schema(df.withColumn(PART, F.lit(0)).schema).parquet(path)
 
 
 def cut_groups(ranged: DataFrame, keys: list[str]) -> DataFrame:
@@ -104,45 +129,66 @@ def over_parts(
     before: int = 0,
     after: int = 0,
     partitions: int | None = None,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Add window ``columns`` whose frames reach at most ``before`` rows back and ``after`` rows ahead.
 
     ``columns`` maps a name to a function of the window specification; later ones may use earlier ones.
     """
-    parts = with_part(df, keys, order, partitions)
-    copies = _border_copies(parts, keys, order, before, after)
-    rows = parts.withColumn(_COPY, F.lit(False)).unionByName(copies.withColumn(_COPY, F.lit(True)))
-    window = W.partitionBy(*keys, PART).orderBy(*order)
-    for name, column in columns.items():
-        rows = rows.withColumn(name, column(window))
-    return rows.filter(~F.col(_COPY)).drop(PART, _COPY)
+
+    def added(rows: DataFrame, *part: str) -> DataFrame:
+        window = W.partitionBy(*keys, *part).orderBy(*order)
+        return reduce(lambda out, name: out.withColumn(name, columns[name](window)), columns, rows)
+
+    def over_ranges(large: DataFrame) -> DataFrame:
+        parts = with_part(large, keys, order, partitions)
+        copies = _border_copies(parts, keys, order, before, after)
+        rows = parts.withColumn(_COPY, F.lit(False)).unionByName(copies.withColumn(_COPY, F.lit(True)))
+        return added(rows, PART).filter(~F.col(_COPY)).drop(PART, _COPY)
+
+    if partitions is not None:
+        return over_ranges(df)
+    small, large = by_group_size(df, keys, group_rows)
+    return added(small) if large is None else added(small).unionByName(over_ranges(large))
 
 
-def rows_since(df: DataFrame, keys: list[str], order: list[str], event: str, name: str, *, partitions: int | None = None) -> DataFrame:
+def rows_since(
+    df: DataFrame, keys: list[str], order: list[str], event: str, name: str, *, partitions: int | None = None, group_rows: int = GROUP_ROWS
+) -> DataFrame:
     """Add the number of rows since the last earlier row of the group where ``event`` is true.
 
     1 right after such a row, NULL before the first one. The frame is unbounded, so a cut group carries
     two numbers per part forward (rows so far, last position) instead of copied rows.
     """
-    parts = with_part(df, keys, order, partitions)
-    window = W.partitionBy(*keys, PART).orderBy(*order)
     mark = F.when(F.col(event), F.col(_NUM))
-    numbered = parts.withColumn(_NUM, F.row_number().over(window).cast("bigint")).withColumn(
-        "__last", F.max(mark).over(window.rowsBetween(W.unboundedPreceding, -1))
-    )
-    # One row per part of a cut group: fewer than twice the ranges.
-    earlier = W.partitionBy(*keys).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
-    totals = (
-        numbered.filter(F.col(PART).isNotNull())
-        .groupBy(*keys, PART)
-        .agg(F.count("*").alias("rows"), F.max(mark).alias("last"))
-        .withColumn("start", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
-        .withColumn("carried", F.max(F.col("start") + F.col("last")).over(earlier))
-        .select(*keys, F.col(PART).alias("__to"), "start", "carried")
-    )
-    match = _same(keys) & (F.col(PART) == F.col("__to"))
-    since = F.coalesce(F.col(_NUM) - F.col("__last"), F.col("start") + F.col(_NUM) - F.col("carried"))
-    return numbered.join(F.broadcast(_renamed(totals, keys)), match, "left").withColumn(name, since).select(*df.columns, name)
+
+    def numbered(rows: DataFrame, *part: str) -> DataFrame:
+        window = W.partitionBy(*keys, *part).orderBy(*order)
+        return rows.withColumn(_NUM, F.row_number().over(window).cast("bigint")).withColumn(
+            "__last", F.max(mark).over(window.rowsBetween(W.unboundedPreceding, -1))
+        )
+
+    def over_ranges(large: DataFrame) -> DataFrame:
+        rows = numbered(with_part(large, keys, order, partitions), PART)
+        # One row per part of a cut group: fewer than twice the ranges.
+        earlier = W.partitionBy(*keys).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
+        totals = (
+            rows.filter(F.col(PART).isNotNull())
+            .groupBy(*keys, PART)
+            .agg(F.count("*").alias("rows"), F.max(mark).alias("last"))
+            .withColumn("start", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+            .withColumn("carried", F.max(F.col("start") + F.col("last")).over(earlier))
+            .select(*keys, F.col(PART).alias("__to"), "start", "carried")
+        )
+        match = _same(keys) & (F.col(PART) == F.col("__to"))
+        since = F.coalesce(F.col(_NUM) - F.col("__last"), F.col("start") + F.col(_NUM) - F.col("carried"))
+        return rows.join(F.broadcast(_renamed(totals, keys)), match, "left").withColumn(name, since).select(*df.columns, name)
+
+    if partitions is not None:
+        return over_ranges(df)
+    small, large = by_group_size(df, keys, group_rows)
+    found = numbered(small).withColumn(name, F.col(_NUM) - F.col("__last")).select(*df.columns, name)
+    return found if large is None else found.unionByName(over_ranges(large))
 
 
 def numbered_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:

@@ -124,11 +124,11 @@ def separation_nearest(tracking: DataFrame, event: str = "pass_arrived", pairs_p
 def pressure_radius(tracking: DataFrame, event: str = "pass", radius: float = 2.0) -> DataFrame:
     """Share of defenders within ``radius`` yards of the quarterback at the pass.
 
-    The semi join meets only quarterback positions of the neighbouring cells and emits each defender
-    once, never a pair.
+    Defenders on one spot are folded. Each spot meets only quarterback positions of the neighbouring cells and learns whether one
+    is near, in an existence join: no pair comes out, and defenders are read once for both numbers.
     """
     at = tracking.filter(F.col("event") == event)
-    defenders = at.filter(is_defender()).select(*FRAME_KEY, "x_coord", "y_coord", *_cell(radius))
+    defenders = _spots(at.filter(is_defender()), "defender").select("*", *_cell(radius))
     qbs = (
         _spots(at.filter(F.col("position") == "QB"), "qb")
         .select(*FRAME_KEY, F.col("x_coord").alias("qx"), F.col("y_coord").alias("qy"), *_cell(radius))
@@ -137,14 +137,16 @@ def pressure_radius(tracking: DataFrame, event: str = "pass", radius: float = 2.
             *[F.col(k).alias(f"qb_{k}") for k in FRAME_KEY], "qx", "qy", F.col("cell.cx").alias("qcx"), F.col("cell.cy").alias("qcy")
         )
     )
-    close = gap(F.col("x_coord"), F.col("y_coord"), F.col("qx"), F.col("qy")) <= radius
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(k) == F.col(f"qb_{k}") for k in FRAME_KEY] + [F.col("cx") == F.col("qcx"), F.col("cy") == F.col("qcy"), close],
-    )
-    near = defenders.join(qbs, same, "left_semi").groupBy(*PLAY_KEY).agg(F.count("*").alias("near"))
-    every = defenders.groupBy(*PLAY_KEY).agg(F.count("*").alias("defenders"))
-    pressed = F.coalesce("near", F.lit(0))
-    return every.join(near, PLAY_KEY, "left").select(
-        *PLAY_KEY, pressed.alias("defenders_near_qb"), "defenders", (pressed / F.col("defenders")).alias("qb_pressure_rate")
+    # Names of their own: a plain name may also stand for a column that the inner side has dropped.
+    defenders = defenders.withColumnsRenamed({c: f"own_{c}" for c in (*FRAME_KEY, "cx", "cy", "x_coord", "y_coord")})
+    own = {c: F.col(f"own_{c}").outer() for c in (*FRAME_KEY, "cx", "cy", "x_coord", "y_coord")}
+    same = [own[k] == F.col(f"qb_{k}") for k in FRAME_KEY] + [own["cx"] == F.col("qcx"), own["cy"] == F.col("qcy")]
+    close = gap(own["x_coord"], own["y_coord"], F.col("qx"), F.col("qy")) <= radius
+    near = qbs.where(reduce(lambda a, b: a & b, same) & close).exists()
+    pressed, every = F.col("defenders_near_qb"), F.col("defenders")
+    return (
+        defenders.select(*[F.col(f"own_{k}").alias(k) for k in PLAY_KEY], "defender_n", near.alias("near"))
+        .groupBy(*PLAY_KEY)
+        .agg(F.sum(F.when(F.col("near"), F.col("defender_n")).otherwise(0)).alias("defenders_near_qb"), F.sum("defender_n").alias("defenders"))
+        .select(*PLAY_KEY, pressed, every, (pressed / every).alias("qb_pressure_rate"))
     )

@@ -29,6 +29,12 @@ _local_folders: list[tempfile.TemporaryDirectory] = []
 _scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a work folder, wherever it lies."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Remove the work folders made inside, once all inside has been written elsewhere; after an error they stay."""
@@ -39,8 +45,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     finally:
         _scratch.reset(outer)
     for path in folders:
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+        remove(spark, path)
 
 
 def build_session(name: str, **settings: str) -> SparkSession:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from compare import spark_rows
 from snapline.operators import features, gold, tracking
-from snapline.operators.ordered import PART, numbered_rows, over_parts, rows_since, with_part
+from snapline.operators.ordered import PART, by_group_size, numbered_rows, over_parts, rows_since, with_part
 
 
 def skewed(spark, rows=3000, seed=3):
@@ -41,6 +41,20 @@ def test_cut_windows_equal_plain_windows(spark, partitions):
     assert spark_rows(cut) == spark_rows(plain(df, ["k"], ["t", "id"], COLUMNS))
 
 
+@pytest.mark.parametrize("group_rows", [10**6, 60, 0])
+def test_only_large_groups_are_stored(spark, group_rows):
+    """None, some and all groups go by stored ranges; the columns are the same."""
+    df = skewed(spark)
+    cut = over_parts(df, ["k"], ["t", "id"], COLUMNS, before=20, after=2, group_rows=group_rows)
+    assert spark_rows(cut) == spark_rows(plain(df, ["k"], ["t", "id"], COLUMNS))
+    since = rows_since(df, ["k"], ["t", "id"], "hit", "since", group_rows=group_rows)
+    assert spark_rows(since) == spark_rows(rows_since(df, ["k"], ["t", "id"], "hit", "since", partitions=1))
+    small, large = by_group_size(df, ["k"], group_rows)
+    assert (large is None) == (group_rows == 10**6)
+    if large is not None:
+        assert small.count() + large.count() == 3000 and large.filter("k = 'hot'").count() == 1000
+
+
 def test_parts_shorter_than_the_frame(spark):
     """Frames may reach over several parts."""
     df = skewed(spark, 1200)
