@@ -109,14 +109,18 @@ bad AS (SELECT u.conv_id, u.call_id, u.turn, d, r.turn IS NULL AS unanswered, r.
       CASE WHEN name = 'summarize' THEN 'limit is unknown' END) AS errors
   FROM up u JOIN depth ON depth.conv_id = u.conv_id AND depth.call_id = u.call_id LEFT JOIN results r ON r.conv_id = u.conv_id AND r.call_id = u.call_id),
 placed AS (
-  SELECT conv_id, call_id, turn, d, CASE WHEN unanswered THEN 'unanswered' ELSE 'linked' END AS status, errors,
+  SELECT conv_id, call_id, turn, d, NULL AS role, NULL AS tie, CASE WHEN unanswered THEN 1 ELSE 2 END AS turns, CASE WHEN unanswered THEN 'unanswered' ELSE 'linked' END AS status, errors,
     concat('{"arguments":{', CASE WHEN n % 13 = 0 THEN '' ELSE '"deep":{"a":null,"b":true},' END, '"limit":', CASE WHEN n % 11 = 0 THEN concat('"', n % 50, '"') ELSE CAST(n % 50 AS VARCHAR) END,
       ',"query":', q, '},"id":"', call_id, '","name":"', name, '","result":', coalesce(to_json(text)::VARCHAR, 'null'), '}') AS message
   FROM bad
   UNION ALL
-  SELECT r.conv_id, r.call_id, r.turn, 2147483647, 'orphan', '', concat('{"arguments":null,"id":"', r.call_id, '","name":null,"result":', coalesce(to_json(text)::VARCHAR, 'null'), '}')
-  FROM results r WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.conv_id = r.conv_id AND c.call_id = r.call_id))
-SELECT conv_id, call_id, row_number() OVER (PARTITION BY conv_id ORDER BY d, turn, call_id) - 1 AS position, status, errors, message FROM placed
+  SELECT r.conv_id, r.call_id, r.turn, 2147483647, NULL, NULL, 1, 'orphan', '', concat('{"arguments":null,"id":"', r.call_id, '","name":null,"result":', coalesce(to_json(text)::VARCHAR, 'null'), '}')
+  FROM results r WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.conv_id = r.conv_id AND c.call_id = r.call_id)
+  UNION ALL
+  SELECT conv_id, NULL, turn, CASE WHEN role = 'system' THEN -2 ELSE -1 END, role, md5(coalesce(text, '')), 1, 'message', '',
+    concat('{"content":', coalesce(to_json(text)::VARCHAR, 'null'), ',"role":', coalesce(to_json(role)::VARCHAR, 'null'), '}')
+  FROM t WHERE NOT coalesce(role = 'assistant' OR (role = 'user' AND turn > 0), false))
+SELECT conv_id, call_id, row_number() OVER (PARTITION BY conv_id ORDER BY d, turn, call_id, role, tie) - 1 AS position, status, errors, message, turns::BIGINT AS turns FROM placed
 """
 
 

@@ -171,3 +171,28 @@ def test_time_grows_with_the_text(spark, unit):
         secrets.scan(docs).select(F.size("added"), F.size("base")).collect()
         seconds.append(time.perf_counter() - began)
     assert seconds[2] < 8 * seconds[1] + 2, seconds
+
+
+def test_numbers_are_written_one_way(spark):
+    """Equal numbers equally, strings untouched, beyond doubles as text; whole numbers are integers."""
+    pairs = {
+        '{"b":1e2,"a":100}': '{"a":100,"b":100}', '{"a":1.0,"b":[1.50,{"c":1E-7}]}': '{"a":1,"b":[1.5,{"c":0.0000001}]}', '{"a":-0.0,"b":-0e0}': '{"a":0,"b":0}',
+        '{"a":1e7,"b":10000000,"c":1.25e1}': '{"a":10000000,"b":10000000,"c":12.5}', '{"a":1e45,"b":-1.5e-60}': '{"a":1E45,"b":-1.5E-60}',
+        '{"a":"1.0 \\" 1e2 \\\\","b":1.0}': '{"a":"1.0 \\" 1e2 \\\\","b":1}', '{"a":123456789012345678901234567890}': '{"a":123456789012345678901234567890}',
+        '{"a":1E400}': None, '["1E400",1]': '["1E400",1]', '[1' + "0" * 400 + "]": None, "true": "true", "[-12.50,-100.0]": "[-12.5,-100]", "{bad": None,
+    }
+    rows = spark.createDataFrame([(k,) for k in pairs], "s string").select("s", chat.canonical_json(chat.parsed_json(F.col("s"))).alias("j")).collect()
+    assert {r["s"]: r["j"] for r in rows} == pairs
+    given = ['{"query":"x","limit":5.0}', '{"query":"x","limit":1e2}', '{"query":"x","limit":1.5}', '{"query":"x","limit":"5"}']
+    rows = spark.createDataFrame([(g,) for g in given], "a string").select(chat.schema_errors(F.lit("search"), F.col("a")).alias("e")).collect()
+    assert [r["e"] for r in rows] == [[], [], ["limit is not integer"], ["limit is not integer"]]
+
+
+def test_every_turn_comes_out(spark):
+    turns = [("c", 0, "system", "s"), ("c", 0, "user", "u"), ("c", 0, "user", "u"), ("c", 1, "assistant", "abcd"), ("c", 1, "assistant", "abcd"), ("c", 2, "user", "r"), ("c", None, "user", None), ("c", 3, "tool", "t"), (None, None, None, None), ("c", None, "assistant", "x"), ("c", 9, "user", "late")]
+    df = spark.createDataFrame(turns, "conv_id string, turn long, role string, text string").withColumn("tie", F.lit(1))
+    rows = chat.link(*chat.tool_log(df)).collect()
+    assert sum(r["turns"] for r in rows) == len(turns)
+    assert sorted(r["status"] for r in rows) == ["linked"] + ["message"] * 6 + ["orphan", "unanswered"]
+    mine = sorted((r for r in rows if r["conv_id"] == "c"), key=lambda r: r["position"])
+    assert [r["position"] for r in mine] == list(range(8)) and mine[0]["message"] == '{"content":"s","role":"system"}' and mine[-1]["status"] == "orphan"
