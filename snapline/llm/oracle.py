@@ -109,7 +109,7 @@ bad AS (SELECT u.conv_id, u.call_id, u.turn, d, r.turn IS NULL AS unanswered, r.
       CASE WHEN name = 'summarize' THEN 'limit is unknown' END) AS errors
   FROM up u JOIN depth ON depth.conv_id = u.conv_id AND depth.call_id = u.call_id LEFT JOIN results r ON r.conv_id = u.conv_id AND r.call_id = u.call_id),
 placed AS (
-  SELECT conv_id, call_id, turn, d, NULL AS role, NULL AS tie, CASE WHEN unanswered THEN 1 ELSE 2 END AS turns, CASE WHEN unanswered THEN 'unanswered' ELSE 'linked' END AS status, errors,
+  SELECT conv_id, call_id, turn, d, NULL::VARCHAR AS role, NULL::VARCHAR AS tie, CASE WHEN unanswered THEN 1 ELSE 2 END AS turns, CASE WHEN unanswered THEN 'unanswered' ELSE 'linked' END AS status, errors,
     concat('{"arguments":{', CASE WHEN n % 13 = 0 THEN '' ELSE '"deep":{"a":null,"b":true},' END, '"limit":', CASE WHEN n % 11 = 0 THEN concat('"', n % 50, '"') ELSE CAST(n % 50 AS VARCHAR) END,
       ',"query":', q, '},"id":"', call_id, '","name":"', name, '","result":', coalesce(to_json(text)::VARCHAR, 'null'), '}') AS message
   FROM bad
