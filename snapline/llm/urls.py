@@ -3,25 +3,32 @@
 Each URL is looked up as every (parent domain, path prefix of a length that rules have) it has. The digests of all rules lie
 sorted in a file that tasks map into memory and search by vectorised bisection; a found digest counts only if the stored rule
 text is equal, so colliding digests change nothing. The longest fitting rule wins, of equally long ones that with the longer host;
-of one rule with two verdicts, block.
+of one rule with two verdicts, block. Where no rule fits, a second array decides: a block list of hosts (with their subdomains) and
+url prefixes.
 
-Defined results: a missing URL or one without ``://`` has empty host and path, which no rule fits; it is allowed. Path prefixes
+The arrays are written from Arrow chunks of a range of digests each, so the driver never holds more than one chunk of rules.
+
+Defined results: a missing URL or one without ``://`` has empty host and path, which nothing fits; it is allowed. Path prefixes
 are compared as text, without decoding. Repeated rows get equal results; no rows, no result. Only ``page_id`` and ``url`` are read.
 """
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from snapline.llm.common import stored, table
 
@@ -29,6 +36,8 @@ from snapline.llm.common import stored, table
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 #: Rules in one array, about 100 bytes each; more are joined by their digest instead.
 ARRAY_RULES = 5_000_000
+#: Rules that the driver holds at a time while it writes an array, about.
+CHUNK_RULES = 200_000
 #: Names that make a host suspect; fixed values.
 SUSPECT = r"(^|[.-])(spam|phish|malware|casino|xxx|porn|warez)"
 # Folders of the files that Spark's driver serves; executors may ask for them as long as the driver lives.
@@ -47,23 +56,42 @@ def path_of(url: Column) -> Column:
 class DigestArray:
     """Rules sorted by digest: digests, then for each the place of its text and verdict."""
 
-    @staticmethod
-    def write(folder: str, rules: list[tuple[str, str]]) -> dict[str, str]:
-        """The array as files, named apart from any other array's."""
-        texts = [r.encode() for r, _ in rules]
-        digests = np.array([xxhash.xxh64_intdigest(t, seed=42) for t in texts], np.uint64)
+    TYPES = {"digests": np.uint64, "ends": np.int64, "texts": np.uint8, "blocked": np.uint8}
+
+    @classmethod
+    def write(cls, folder: str, rules: list[tuple[str, str]]) -> dict[str, str]:
+        """The array of a few rules as files."""
+        digests = np.array([xxhash.xxh64_intdigest(r.encode(), seed=42) for r, _ in rules], np.uint64)
         order = np.argsort(digests, kind="stable")
-        blob = b"".join(texts[i] for i in order)
-        ends = np.cumsum([0] + [len(texts[i]) for i in order]).astype(np.int64)
-        parts = {"digests": digests[order], "ends": ends, "texts": np.frombuffer(blob or b" ", np.uint8), "blocked": np.array([rules[i][1] == "block" for i in order], np.uint8)}
-        names, tag = {}, uuid.uuid4().hex
-        for part, values in parts.items():
-            names[part] = os.path.join(folder, f"url-{part}-{tag}.npy")
-            np.save(names[part], values)
+        return cls.write_chunks(folder, [(digests[order], pa.array([rules[i][0] for i in order], pa.large_string()), np.array([rules[i][1] == "block" for i in order]))])
+
+    @classmethod
+    def write_chunks(cls, folder: str, chunks: Iterable[tuple[np.ndarray, pa.Array, np.ndarray]]) -> dict[str, str]:
+        """The array as files, named apart from any other array's, from (digests, texts, blocked) in order of digest."""
+        tag, end = uuid.uuid4().hex, 0
+        names = {part: os.path.join(folder, f"url-{part}-{tag}.bin") for part in cls.TYPES}
+        with ExitStack() as stack:
+            files = {part: stack.enter_context(open(name, "wb")) for part, name in names.items()}
+
+            def put(**values: np.ndarray) -> None:
+                for part, some in values.items():
+                    files[part].write(np.ascontiguousarray(some, cls.TYPES[part]).data)
+
+            put(ends=np.zeros(1))
+            for digests, texts, blocked in chunks:
+                lengths = np.array(pc.binary_length(texts), np.int64)
+                data = b"".join(text.encode() for text in texts.to_pylist())
+                ends = end + np.cumsum(lengths)
+                put(digests=digests, ends=ends, texts=np.frombuffer(data, np.uint8), blocked=blocked)
+                end += len(data)
         return names
 
     def __init__(self, names: dict[str, str]):
-        self.digests, self.ends, self.texts, self.blocked = (np.load(names[p], mmap_mode="r") for p in ("digests", "ends", "texts", "blocked"))
+        def mapped(part: str) -> np.ndarray:
+            kind = self.TYPES[part]
+            return np.memmap(names[part], kind, "r") if os.path.getsize(names[part]) else np.empty(0, kind)
+
+        self.digests, self.ends, self.texts, self.blocked = (mapped(p) for p in self.TYPES)
 
     def find(self, probes: list[bytes]) -> list[int | None]:
         """For each probe 1 (block), 0 (allow), or None if no rule has this text."""
@@ -93,17 +121,36 @@ def distinct_rules(rules: DataFrame) -> DataFrame:
     return stored(known.select("rule", F.when(F.col("blocked"), "block").otherwise("allow").alias("verdict"), length.alias("length")), "url-rules")
 
 
-def match_rules(pages: DataFrame, rules: DataFrame, array_rules: int = ARRAY_RULES) -> DataFrame:
+def chunks_of(rules: DataFrame, rows: int, chunk_rules: int) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray]]:
+    """``rows`` stored rules as Arrow chunks of equal ranges of digests, in order of digest; digests spread evenly."""
+    bits = max(0, math.ceil(math.log2(max(rows, 1) / chunk_rules)))
+    # With the sign bit turned over, signed order is the order of unsigned digests.
+    turned = F.xxhash64("rule").bitwiseXOR(F.lit(-(2**63)))
+    digested = rules.select("rule", (F.col("verdict") == "block").alias("blocked"), turned.alias("digest"))
+    for chunk in range(-(2**bits) // 2, 2**bits // 2) if bits else [None]:
+        part = digested if chunk is None else digested.filter(F.shiftright("digest", 64 - bits) == chunk)
+        got = part.orderBy("digest", "rule").toArrow().combine_chunks()
+        digests = got["digest"].to_numpy().astype(np.int64).view(np.uint64) ^ np.uint64(2**63)
+        yield digests, pa.concat_arrays(got["rule"].chunks) if got.num_rows else pa.array([], pa.string()), got["blocked"].to_numpy()
+
+
+def match_rules(pages: DataFrame, rules: DataFrame, array_rules: int = ARRAY_RULES, chunk_rules: int = CHUNK_RULES) -> DataFrame:
     """``page_id``, host, path, rule and ruled (the rule's verdict) of each page; ``rules``: (rule, verdict)."""
-    spark = pages.sparkSession
+    rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    return _matched(rows, rules, array_rules, chunk_rules)
+
+
+def _matched(rows: DataFrame, rules: DataFrame, array_rules: int, chunk_rules: int) -> DataFrame:
+    """``rows`` (page_id, host and path first) with rule and ruled."""
+    spark = rows.sparkSession
     rules = distinct_rules(rules)
     lengths = [r[0] for r in rules.select("length").distinct().orderBy("length").collect()]  # as many as rule paths have lengths
-    rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    if rules.count() > array_rules:
+    number = rules.count()
+    if number > array_rules:
         return _joined(rows, rules, lengths)
     folder = tempfile.TemporaryDirectory(prefix="url-rules-")
     _served.append(folder)
-    names = DigestArray.write(folder.name, [(r["rule"], r["verdict"]) for r in rules.collect()])
+    names = DigestArray.write_chunks(folder.name, chunks_of(rules, number, chunk_rules))
     for path in names.values():
         spark.sparkContext.addFile(path)
     files = {part: os.path.basename(path) for part, path in names.items()}
@@ -121,10 +168,10 @@ def match_rules(pages: DataFrame, rules: DataFrame, array_rules: int = ARRAY_RUL
                 rule.append(None if hit is None else own[hit])
                 ruled.append(None if hit is None else ("block" if found[at + hit] else "allow"))
                 at += len(own)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rule, pa.string()), pa.array(ruled, pa.string())], ["page_id", "host", "path", "rule", "ruled"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rule, pa.string()), pa.array(ruled, pa.string())], [*names_in, "rule", "ruled"])
 
-    schema = f"page_id {rows.schema['page_id'].dataType.simpleString()}, host string, path string, rule string, ruled string"
-    return rows.mapInArrow(look_up, schema)
+    names_in = rows.columns
+    return rows.mapInArrow(look_up, StructType([*rows.schema.fields, StructField("rule", StringType()), StructField("ruled", StringType())]))
 
 
 def _joined(rows: DataFrame, rules: DataFrame, lengths: list[int]) -> DataFrame:
@@ -138,14 +185,26 @@ def _joined(rows: DataFrame, rules: DataFrame, lengths: list[int]) -> DataFrame:
     hits = probes.join(rules, (F.xxhash64("probe") == F.col("_digest")) & (F.col("probe") == F.col("rule")))
     host = F.length(F.substring_index("rule", "/", 1))
     best = hits.groupBy("_row").agg(F.max(F.struct(F.length("rule").alias("length"), host.alias("host"), "rule", "verdict")).alias("best"))
-    return rows.join(best, "_row", "left").select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("ruled"))
+    return rows.join(best, "_row", "left").select(*[c for c in rows.columns if c != "_row"], F.col("best.rule").alias("rule"), F.col("best.verdict").alias("ruled"))
+
+
+def suspect_hosts(pages: DataFrame) -> DataFrame:
+    """A block list (rule, verdict) of the hosts among the pages that have a suspect name, each once."""
+    hosts = pages.select(host_of(F.col("url")).alias("host")).filter(F.col("host").rlike(SUSPECT)).distinct()
+    return hosts.select(F.concat("host", F.lit("/")).alias("rule"), F.lit("block").alias("verdict"))
+
 
+def judge(pages: DataFrame, rules: DataFrame, array_rules: int = ARRAY_RULES, blocked: DataFrame | None = None, chunk_rules: int = CHUNK_RULES) -> DataFrame:
+    """page_id, host, path, rule and verdict; where no rule fits, the block list's, else allow.
 
-def judge(pages: DataFrame, rules: DataFrame, array_rules: int = ARRAY_RULES) -> DataFrame:
-    """page_id, host, path, rule and verdict; where no rule fits, hosts with a suspect name are blocked."""
-    rows = match_rules(pages, rules, array_rules)
-    own = F.when(F.col("host").rlike(SUSPECT), "block").otherwise("allow")
-    return rows.select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"))
+    ``blocked``: (rule, verdict) of hosts and url prefixes, ``host/path``; without it the hosts with a suspect name.
+    A host of the list counts for urls without a path too.
+    """
+    listed = suspect_hosts(pages) if blocked is None else blocked
+    rows = match_rules(pages, rules, array_rules, chunk_rules).withColumnsRenamed({"rule": "own_rule", "ruled": "own"})
+    asked = rows.withColumns({"path": F.when(F.col("path") == "", "/").otherwise(F.col("path")), "own_path": F.col("path")})
+    rows = _matched(asked, listed, array_rules, chunk_rules)
+    return rows.select("page_id", "host", F.col("own_path").alias("path"), F.col("own_rule").alias("rule"), F.coalesce("own", "ruled", F.lit("allow")).alias("verdict"))
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

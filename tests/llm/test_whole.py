@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_fixtures import workers_can_import  # noqa: F401
-from snapline.llm import chat, mixing, neardup, secrets
+from snapline.llm import chat, mixing, neardup, secrets, urls
 
 CALLS = "conv_id string, turn long, call_id string, name string, arguments string, after string"
 
@@ -196,3 +196,16 @@ def test_every_turn_comes_out(spark):
     assert sorted(r["status"] for r in rows) == ["linked"] + ["message"] * 6 + ["orphan", "unanswered"]
     mine = sorted((r for r in rows if r["conv_id"] == "c"), key=lambda r: r["position"])
     assert [r["position"] for r in mine] == list(range(8)) and mine[0]["message"] == '{"content":"s","role":"system"}' and mine[-1]["status"] == "orphan"
+
+
+def test_a_long_block_list_decides_where_no_rule_fits(spark):
+    """100,000 hosts, written in chunks of digests; subdomains and url prefixes too; the join beyond the array says the same."""
+    listed = spark.range(100_000).select(F.concat(F.lit("h"), "id", F.lit(".org/"), F.when(F.col("id") % 2 == 0, "bad/").otherwise("")).alias("rule"), F.lit("block").alias("verdict"))
+    rules = spark.createDataFrame([("h7.org/fine/", "allow")], "rule string, verdict string")
+    urls_of = {1: "x://h7.org", 2: "x://a.H99999.org/p", 3: "x://h8.org/ok", 4: "x://h8.org/bad/p", 5: "x://h7.org/fine/p", 6: "x://h100001.org/", 7: None, 8: "x://spam.org/"}
+    pages = spark.createDataFrame(list(urls_of.items()), "page_id long, url string").withColumn("own", F.lit(1))
+    expected = {1: "block", 2: "block", 3: "allow", 4: "block", 5: "allow", 6: "allow", 7: "allow", 8: "allow"}
+    for limit in (1_000_000, 0):
+        rows = urls.judge(pages, rules, limit, listed, chunk_rules=30_000).collect()
+        assert {r["page_id"]: r["verdict"] for r in rows} == expected and {r["page_id"]: r["rule"] for r in rows if r["rule"]} == {5: "h7.org/fine/"}
+        assert next(r["path"] for r in rows if r["page_id"] == 1) == ""
