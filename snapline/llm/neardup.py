@@ -4,13 +4,14 @@ A text's set holds the distinct windows of five words (A-Z lower-cased), as 64-b
 Texts with the same words form a class, and one document stands for it, so exact copies are never compared.
 
 1. Each class gets a signature of COORDINATES minima and is posted under each (coordinate, value).
-2. Values held by one class alone cannot collide. A pair that is to collide MATCHES times must share one of a class's
-   ``shared - MATCHES + 1`` rarest values; the longer lists are skipped. Classes that share such a value are compared further.
-3. Their sets are read, and posted under their rarest windows: sets as similar as SIMILAR share one of the rarest 15 % + 1 (at 85).
-4. The members of each list are compared with its hub, the member with the fewest windows of its own: a pair must collide
-   MATCHES times and is confirmed on the full sets. Then members that are still in different components and can still be
-   similar are compared, each told by the hub's set, so that the full intersection is counted without reading the sets again; they
-   must collide MATCHES times too.
+2. Values held by one class alone cannot collide. A pair that is to collide MATCHES times must share one of the
+   ``shared - MATCHES + 1`` rarest values of each of both, so only these lists are merged; the longer ones are skipped.
+3. Merging a list gives pairs of its members with its hub, the member that shares most values with others: one pair per member, not
+   all pairs of a group. A pair's collisions in the skipped lists are looked up in the signatures; it must have MATCHES
+   in all, and is confirmed on the full sets.
+4. Lists whose members are still in different components are merged in full: members of different components that collide MATCHES
+   times are confirmed inside the join. Each set is told by the hub's set, so that the full intersection is counted without
+   reading the sets again.
 
 SIMILAR and MATCHES are what ``similar`` and ``matches`` are unless given. Two sets with similarity 0.85 collide in fewer than 15 of 32 coordinates with probability below 1e-7; that is the only
 way to lose a link. No list, group or number of partners is capped.
@@ -125,20 +126,25 @@ def class_sets(docs: DataFrame) -> DataFrame:
 
 
 def prefix_posts(classes: DataFrame, matches: int) -> DataFrame:
-    """(value, cls) of the rarest values of each class that can collide ``matches`` times."""
-    posts = classes.select("cls", F.explode("sig").alias("value"))
+    """(value, cls, n, shared) of the rarest values of each class that can collide ``matches`` times; ``shared`` counts all it shares."""
+    posts = classes.select("cls", "n", F.explode("sig").alias("value"))
     lengths = stored(posts.groupBy("value").agg(F.count("*").alias("length")).filter("length > 1"), "neardup-lengths")
-    shared = posts.join(lengths.hint("merge"), "value").groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("length", "value"))).alias("held"))
-    prefix = shared.filter(F.size("held") >= matches).select("cls", F.explode(F.slice("held", 1, F.size("held") - matches + 1)).alias("held"))
-    return prefix.select("cls", F.col("held.value").alias("value"))
+    held = posts.join(lengths.hint("merge"), "value").groupBy("cls").agg(F.any_value("n").alias("n"), F.sort_array(F.collect_list(F.struct("length", "value"))).alias("held"))
+    shared = F.size("held")
+    return held.filter(shared >= matches).select(F.explode(F.slice("held.value", 1, shared - matches + 1)).alias("value"), "cls", "n", shared.alias("shared"))
 
 
-def comparable(docs: DataFrame, classes: DataFrame, matches: int) -> DataFrame:
-    """cls, n, sig and set of the classes that share a posted value."""
+def posting_lists(classes: DataFrame, matches: int) -> DataFrame:
+    """(value, cls, n, hub) of the merged lists, those with two members or more."""
     posts = stored(prefix_posts(classes, matches), "neardup-posts")
-    lists = stored(posts.groupBy("value").agg(F.count("*").alias("length")).filter("length > 1").select("value"), "neardup-lists")
-    chosen = posts.join(lists.hint("merge"), "value", "left_semi").select("cls").distinct()
-    chosen = classes.join(chosen.hint("merge"), "cls", "left_semi").select("cls", "n", "sig", "id")
+    hubs = posts.groupBy("value").agg(F.count("*").alias("length"), F.max(F.struct("shared", "cls")).alias("best"))
+    hubs = stored(hubs.filter("length > 1").select("value", F.col("best.cls").alias("hub")), "neardup-hubs")
+    return stored(posts.join(hubs.hint("merge"), "value").select("value", "cls", "n", "hub"), "neardup-lists")
+
+
+def listed_sets(docs: DataFrame, classes: DataFrame, lists: DataFrame) -> DataFrame:
+    """cls, n, sig and set of the classes in the lists."""
+    chosen = classes.join(lists.select("cls").distinct().hint("merge"), "cls", "left_semi").select("cls", "n", "sig", "id")
     chosen = stored(chosen, "neardup-chosen")
     # The texts of the documents that stand for them; the join is the same at any size.
     ids = chosen.select(F.col("id").alias("_id"))
@@ -147,39 +153,6 @@ def comparable(docs: DataFrame, classes: DataFrame, matches: int) -> DataFrame:
     return chosen.drop("id").join(sets.hint("merge"), "cls")
 
 
-def rare_posts(sets: DataFrame, similar: int) -> DataFrame:
-    """(window, cls, n, common) of the rarest windows of each set that others hold too; ``common`` counts all of these.
-
-    Sets keyed by a 64-bit part of the class here; windows that one set holds alone can be in no intersection, which both
-    shortens the lists and bounds the similarity.
-    """
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            arrays = [np.frombuffer(b, np.int64) for b in batch.column(1).to_pylist()]
-            keys = np.repeat(np.array(batch.column(0).to_pylist(), np.int64), [len(a) for a in arrays])
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64))], ["k", "window"])
-
-    keyed = sets.select(F.xxhash64("cls").alias("k"), "set")
-    posts = keyed.mapInArrow(unpack, "k long, window long")
-    counts = stored(posts.groupBy("window").agg(F.count("*").alias("length")).filter("length > 1"), "neardup-counts")
-    held = posts.join(counts.hint("merge"), "window").groupBy("k").agg(F.sort_array(F.collect_list(F.struct("length", "window"))).alias("held"))
-    own = sets.select("cls", "n", F.xxhash64("cls").alias("_k"))
-    held = held.join(own.hint("merge"), F.col("k") == F.col("_k"))
-    common = F.size("held")
-    alone = F.col("n") - common
-    prefix = F.col("n") - F.ceil(F.col("n") * similar / 100) + 1 - alone
-    short = held.filter(prefix > 0).select("cls", "n", common.cast("long").alias("common"), F.explode(F.slice("held", 1, F.least(prefix, common).cast("int"))).alias("held"))
-    return short.select(F.col("held.window").alias("window"), "cls", "n", "common")
-
-
-def possible(n: Column, common: Column, other_n: Column, other_common: Column, similar: int) -> Column:
-    """Whether two sets can be similar, by their sizes and by how much of each anything else shares."""
-    most = F.least(common, other_common)
-    sizes = similar * F.greatest(n, other_n) <= 100 * F.least(n, other_n)
-    return sizes & (100 * most >= similar * (n + other_n - most))
-
-
 def collisions(a: str, b: str) -> Column:
     """In how many coordinates two signatures agree."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
@@ -212,30 +185,24 @@ def overlaps(pairs: DataFrame, sets: DataFrame, similar: int, matches: int) -> D
     return whole.mapInArrow(compare, "a binary, b binary, linked boolean, bits array<long>, rest array<long>, sig array<long>")
 
 
-def hubs_of(posts: DataFrame) -> DataFrame:
-    """(window, hub): the member of each list that has the largest part in common with others."""
-    return posts.groupBy("window").agg(F.max(F.struct((F.col("common") / F.col("n")).alias("part"), "cls")).alias("best")).select("window", F.col("best.cls").alias("hub"))
-
-
-def open_links(posts: DataFrame, hubs: DataFrame, told: DataFrame, labels: DataFrame, similar: int, matches: int) -> DataFrame:
+def open_links(lists: DataFrame, told: DataFrame, labels: DataFrame, similar: int, matches: int) -> DataFrame:
     """Links between members of a list that are in different components and collide ``matches`` times.
 
     Both sets are told by the list's hub, so their full intersection is counted inside the join, from the bits and the
-    rests; only links come out of it. Members that can match nobody in their list take no part.
+    rests; only links come out of it.
     """
-    named = posts.join(labels.hint("merge"), F.col("cls") == F.col("node"), "left").select("window", "cls", "n", "common", F.coalesce("label", "cls").alias("label"))
-    lists = named.groupBy("window").agg(F.min("n").alias("least"), F.min("label").alias("first"), F.max("label").alias("last")).filter("first <> last")
-    lists = stored(lists.select("window", "least"), "neardup-open-lists")
-    best = F.greatest("least", F.col("common"))  # a partner has at least as many windows as it shares
-    live = named.join(lists.hint("merge"), "window").filter(100 * F.col("common") >= similar * (F.col("n") + best - F.col("common")))
-    live = live.join(hubs.hint("merge"), "window").join(told.select(F.col("a").alias("cls"), F.col("b").alias("hub"), "bits", "rest", "sig").hint("merge"), ["cls", "hub"])
-    live = stored(live.select("window", "cls", "n", "common", "label", "bits", "rest", "sig"), "neardup-open")
+    named = lists.join(labels.hint("merge"), F.col("cls") == F.col("node"), "left").select("value", "cls", "n", "hub", F.coalesce("label", "cls").alias("label"))
+    mixed = named.groupBy("value").agg(F.min("label").alias("first"), F.max("label").alias("last")).filter("first <> last")
+    mixed = stored(mixed.select("value"), "neardup-open-lists")
+    sets = told.select(F.col("a").alias("cls"), F.col("b").alias("hub"), "bits", "rest", "sig")
+    live = named.join(mixed.hint("merge"), "value", "left_semi").join(sets.hint("merge"), ["cls", "hub"])
+    live = stored(live.select("value", "cls", "n", "label", "bits", "rest", "sig"), "neardup-open")
     a, b = live.alias("a"), live.alias("b")
-    fair = (F.col("a.window") == F.col("b.window")) & (F.col("a.cls") < F.col("b.cls")) & (F.col("a.label") != F.col("b.label"))
-    fair = fair & possible(F.col("a.n"), F.col("a.common"), F.col("b.n"), F.col("b.common"), similar)
+    fair = (F.col("a.value") == F.col("b.value")) & (F.col("a.cls") < F.col("b.cls")) & (F.col("a.label") != F.col("b.label"))
+    fair = fair & (similar * F.greatest("a.n", "b.n") <= 100 * F.least("a.n", "b.n")) & (collisions("a.sig", "b.sig") >= matches)
     in_hub = F.aggregate(F.zip_with("a.bits", "b.bits", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda n, x: n + x)
     both = in_hub + F.size(F.array_intersect("a.rest", "b.rest"))
-    fair = fair & (100 * both >= similar * (F.col("a.n") + F.col("b.n") - both)) & (collisions("a.sig", "b.sig") >= matches)
+    fair = fair & (100 * both >= similar * (F.col("a.n") + F.col("b.n") - both))
     return a.join(b.hint("merge"), fair).select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct()
 
 
@@ -243,14 +210,13 @@ def class_components(docs: DataFrame, prints: DataFrame, similar: int = SIMILAR,
     """(cls, component): the smallest class linked with each class that has a link."""
     classes = prints.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("id"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig"))
     classes = stored(classes, "neardup-classes")
-    sets = stored(comparable(docs, classes, matches), "neardup-sets")
-    posts = stored(rare_posts(sets, similar), "neardup-windows")
-    hubs = stored(hubs_of(posts), "neardup-hubs")
-    pairs = posts.join(hubs.hint("merge"), "window").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
+    lists = posting_lists(classes, matches)
+    sets = stored(listed_sets(docs, classes, lists), "neardup-sets")
+    pairs = lists.select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
     told = stored(overlaps(pairs, sets, similar, matches), "neardup-told")
     links = stored(told.filter("linked AND a <> b").select("a", "b"), "neardup-first-links")
     labels = components(links, "neardup-first")
-    more = stored(open_links(posts, hubs, told, labels, similar, matches), "neardup-more")
+    more = stored(open_links(lists, told, labels, similar, matches), "neardup-more")
     if not more.isEmpty():
         labels = components(stored(links.union(more), "neardup-links"), "neardup-all")
     return labels.select(F.col("node").alias("cls"), F.col("label").alias("component"))
