@@ -28,6 +28,8 @@ TRAIN_DOCS = 1500
 #: Bytes scored at once.
 PIECE = 1 << 20
 LETTER = re.compile(r"[^\W\d_]")
+#: The same as a Java pattern.
+JAVA_LETTER = r"[\p{L}\p{Nl}\p{No}]"
 
 
 def grams(data: bytes, order: int = ORDER) -> np.ndarray:
@@ -192,8 +194,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def known_documents(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """The documents that get a language, with the columns they came with."""
-    return score(docs, model or learn(docs)).filter("lang_pred <> 'und'").select("doc.*")
+    """The documents that get a language, with the columns they came with.
+
+    Where no language could be learned, none is rejected for lack of one: only texts without a letter and missing ones go.
+    """
+    model = model or learn(docs)
+    if not model.langs:
+        return docs.filter(docs["text"].rlike(JAVA_LETTER))
+    return score(docs, model).filter("lang_pred <> 'und'").select("doc.*")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
