@@ -106,13 +106,14 @@ def with_roles(tracking: DataFrame, plays: DataFrame) -> DataFrame:
     """Attach the play's two teams to each frame.
 
     Copies of a play are folded first, so they cannot multiply frames; frames of a hot play are split by
-    the adaptive skew join.
+    the adaptive skew join. Not by a broadcast: sizes of shuffles are those of compressed rows, and the teams of
+    some 100,000 plays that seem to fit are a multiple of it in the driver.
     """
     side = F.when(F.col("team") == F.col("possession_team"), "offense").when(
         F.col("team") == F.col("defensive_team"), "defense"
     )
     teams = play_teams(plays).select("key.*", "possession_team", "defensive_team")
-    return tracking.join(teams, PLAY_KEY).withColumn("side", side)
+    return tracking.join(teams.hint("merge"), PLAY_KEY).withColumn("side", side)
 
 
 def team_partials(tracking: DataFrame, *slices: Column) -> DataFrame:
