@@ -25,3 +25,17 @@ def test_roles_are_joined_without_broadcasts(inputs):
     df.collect()
     physical = df._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in physical and "Broadcast" not in physical
+
+
+def test_keyed_streams_bring_their_state_store(spark, tmp_path):
+    """A session without this package's settings, as a job gets it that does not build its own."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, HDFS)
+    try:
+        rows = [frame("P", "a", i / 10, i, float(i)) for i in range(5)]
+        found = run(derive_tracking_keyed(in_files(spark, tmp_path / "in", [rows, CLOSING_FRAME], FRAME)), tmp_path, "timestamp").filter("play_id = 'P'")
+        assert [r[0] for r in found.orderBy("frame_id").select("prev_x").collect()] == [None, 0.0, 1.0, 2.0, 3.0]
+        assert spark.conf.get(key) == HDFS
+    finally:
+        spark.conf.set(key, before)
