@@ -26,14 +26,16 @@ MALFORMED = "malformed_text"
 def parse_messages(messages: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Decode one JSON object per message; the raw text stays beside the columns.
 
-    ``malformed_text`` holds the text of messages that do not fit the schema, NULL otherwise.
+    ``malformed_text`` holds the text of messages that do not fit the schema, NULL otherwise. The message is unfolded
+    from an array of one, so that each is decoded once: a filter on plain fields of it would be evaluated with one decoding
+    for every use of a column.
     """
     with_error = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
     decoded = F.from_json(RAW, with_error, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED})
     return (
         messages.select(F.col(value).cast("string").alias(RAW))
-        .select(RAW, decoded.alias("message"))
-        .select("message.*", RAW)
+        .select(RAW, F.inline(F.array(decoded)))
+        .select(*with_error.fieldNames(), RAW)
     )
 
 

@@ -19,6 +19,19 @@ def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_messages_are_decoded_once_before_dead_letters(spark, inputs):
+    checked = quality.check_tracking(quality.stamp(quality.parse_tracking(derived.as_messages(inputs.tracking))))
+    assert plan(quality.dead_letters(checked)).count("from_json") == 1
+    texts = [('{"game_id": "G", "down": 3}',), ('{"game_id": "G", "down": "x"}',), ("no json",), ("",), (None,), ("[]",)]
+    df = quality.parse_plays(spark.createDataFrame(texts, "value string"))
+    assert df.columns == [*PLAY_SCHEMA.fieldNames(), quality.MALFORMED, quality.RAW]
+    found = {r["raw_data"]: (r["game_id"], r["down"], r["malformed_text"]) for r in df.collect()}
+    assert len(found) == len(texts) == df.count()
+    assert found['{"game_id": "G", "down": 3}'] == ("G", 3, None) and found[None] == (None, None, None)
+    assert found["no json"] == (None, None, "no json")
+    assert found['{"game_id": "G", "down": "x"}'][1:] == (None, '{"game_id": "G", "down": "x"}')
+
+
 def test_roles_are_joined_without_broadcasts(inputs):
     """Neither frames nor teams go to the driver, however small their files are."""
     df = tracking.with_roles(inputs.tracking, inputs.plays)
