@@ -52,3 +52,10 @@ def test_keyed_streams_bring_their_state_store(spark, tmp_path):
         assert spark.conf.get(key) == HDFS
     finally:
         spark.conf.set(key, before)
+
+
+def test_partitions_follow_the_rows(spark):
+    df = spark.range(1000).withColumnRenamed("id", "event_id")
+    cores = spark.sparkContext.defaultParallelism
+    assert derived.spread(df, rows=10).rdd.getNumPartitions() == 100
+    assert derived.spread(df, rows=1000).rdd.getNumPartitions() == cores
