@@ -14,9 +14,12 @@ PLAY_ORDER = ["event_timestamp", "play_id"]
 
 
 def add_rolling_features(
-    df: DataFrame, n: int = 5, *, partitions: int | None = None
+    df: DataFrame, n: int = 5, *, partitions: int | None = None, counted: DataFrame | None = None
 ) -> DataFrame:
-    """Means over the possession team's previous ``n`` plays; NULL on its first play."""
+    """Means over the possession team's previous ``n`` plays; NULL on its first play.
+
+    ``counted``: plays that ``df`` has one row for each of, to size the teams without running ``df``.
+    """
 
     def last(w):
         return w.rowsBetween(-n, -1)
@@ -33,6 +36,7 @@ def add_rolling_features(
         },
         before=n,
         partitions=partitions,
+        counted=counted,
     )
 
 
@@ -51,9 +55,9 @@ def add_plays_since_turnover(
 
 
 def add_opponent_features(
-    df: DataFrame, n: int = 20, *, partitions: int | None = None
+    df: DataFrame, n: int = 20, *, partitions: int | None = None, counted: DataFrame | None = None
 ) -> DataFrame:
-    """What the defensive team allowed over its previous ``n`` plays."""
+    """What the defensive team allowed over its previous ``n`` plays; ``counted`` as in ``add_rolling_features``."""
 
     def last(w):
         return w.rowsBetween(-n, -1)
@@ -69,6 +73,7 @@ def add_opponent_features(
         },
         before=n,
         partitions=partitions,
+        counted=counted,
     )
 
 
@@ -79,10 +84,10 @@ def select_final_features(df: DataFrame) -> DataFrame:
 
 
 def ml_features(
-    silver: DataFrame, *, partitions: int | None = None
+    silver: DataFrame, *, partitions: int | None = None, counted: DataFrame | None = None
 ) -> DataFrame:
     """The whole feature table. Two shuffles: by possession team and by defensive team."""
-    windows = {"partitions": partitions}
+    windows = {"partitions": partitions, "counted": counted}
     return (
         silver.transform(lambda df: add_rolling_features(df, **windows))
         .transform(p.add_game_context_features)

@@ -40,6 +40,32 @@ def test_roles_are_joined_without_broadcasts(inputs):
     assert "SortMergeJoin" in physical and "Broadcast" not in physical
 
 
+def test_keys_are_counted_by_slots_first(spark):
+    df = skewed(spark)
+    total, slots = ordered.crowded_slots(df, ["k"], 900)
+    assert total == 3000 and len(slots) == 1
+    assert ordered.crowded_slots(df, ["k"], 3000) == (3000, [])
+    assert ordered.crowded_slots(df.filter("false"), ["k"], 10) == (0, [])
+
+
+@pytest.mark.parametrize("group_rows", [10**6, 60])
+def test_large_tables_get_more_window_tasks(spark, monkeypatch, group_rows):
+    monkeypatch.setattr(ordered, "TASK_ROWS", 100)
+    df = skewed(spark)
+    cut = ordered.over_parts(df, ["k"], ["t", "id"], COLUMNS, before=20, after=2, group_rows=group_rows)
+    assert "RepartitionByExpression [k" in plan(cut) and ", 30" in plan(cut)
+    assert spark_rows(cut) == spark_rows(plain(df, ["k"], ["t", "id"], COLUMNS))
+
+
+def test_sizes_come_from_the_counted_plays(spark, inputs):
+    """The teams are sized without running what leads to the silver rows."""
+    broken = inputs.valid_plays.withColumn("defensive_pressure_rate", F.lit(0.5)).withColumn("play_id", F.raise_error(F.lit("was run")).cast("string"))
+    added = features.add_opponent_features(features.add_rolling_features(broken, counted=inputs.valid_plays), counted=inputs.valid_plays)
+    assert "opp_pressure_rate" in added.columns
+    given = Inputs(spark, inputs.sf_dir).valid_plays.withColumn("defensive_pressure_rate", F.lit(0.5))
+    assert spark_rows(rounded(features.add_rolling_features(given, counted=given))) == spark_rows(rounded(features.add_rolling_features(given, partitions=3)))
+
+
 def test_keyed_streams_bring_their_state_store(spark, tmp_path):
     """A session without this package's settings, as a job gets it that does not build its own."""
     key = "spark.sql.streaming.stateStore.providerClass"
