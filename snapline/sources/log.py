@@ -169,7 +169,8 @@ def log_messages(spark: SparkSession, path: str, start: int | None = None, fail_
 
 
 def write_segments(messages: DataFrame, path: str, parts: int, column: str = "offset") -> None:
-    """Store messages that carry offsets without gaps as about ``parts`` segments, one per range of offsets.
+    """Store messages that carry offsets without gaps as about ``parts`` segments, one per range of offsets; more where a segment
+    would hold over ``PER_TASK`` messages, since a task sorts those of a segment in memory.
 
     For tests and for moving a topic into files; the folder must be one that the tasks can write to.
     """
@@ -191,4 +192,5 @@ def write_segments(messages: DataFrame, path: str, parts: int, column: str = "of
         yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64())], ["n"])
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    parts = max(parts, -(-messages.count() // PER_TASK))
     messages.select(F.col(column).cast("long").alias(column), "value").repartitionByRange(parts, column).mapInArrow(write, "n long").collect()

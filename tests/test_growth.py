@@ -8,6 +8,7 @@ from snapline.operators import features, ordered, quality, tracking
 from snapline.plans import derived
 from snapline.plans.queries import Inputs, rounded
 from snapline.schemas import PLAY_SCHEMA
+from snapline.sources import log
 from snapline.streaming.keyed import derive_tracking_keyed
 from test_ordered import COLUMNS, plain, skewed
 from test_streaming import CLOSING_FRAME, FRAME, frame, in_files, run
@@ -85,3 +86,14 @@ def test_partitions_follow_the_rows(spark):
     cores = spark.sparkContext.defaultParallelism
     assert derived.spread(df, rows=10).rdd.getNumPartitions() == 100
     assert derived.spread(df, rows=1000).rdd.getNumPartitions() == cores
+
+
+def test_segments_follow_the_messages(spark, tmp_path, monkeypatch):
+    """A segment's messages are sorted in one worker's memory; all of them come back, by their offsets."""
+    monkeypatch.setattr(log, "PER_TASK", 50)
+    messages = spark.range(1000).select(F.col("id").alias("offset"), F.concat(F.lit("m"), F.col("id").cast("string")).alias("value"))
+    log.write_segments(messages, f"{tmp_path}/log", 2)
+    held = log.segments(f"{tmp_path}/log")
+    assert len(held) > 10 and max(last - first for first, last, _ in held) < 150
+    read = log.log_messages(spark, f"{tmp_path}/log", stream=False).collect()
+    assert sorted(tuple(r) for r in read) == [(i, f"m{i}") for i in range(1000)]
