@@ -39,7 +39,7 @@ def derive_tracking(df: DataFrame, partitions: int | None = None, gap_seconds: f
 
     ``prev_speed`` is the previous *final* speed, so a missing measured speed does not void the next
     acceleration. It needs the frame before the previous one, hence two rows of reach; both window steps
-    share one shuffle and one sort.
+    share one shuffle and one sort. The frames of a play come to one task, so sums per play need no second shuffle.
     """
 
     def lagged(name: str):
@@ -63,6 +63,7 @@ def derive_tracking(df: DataFrame, partitions: int | None = None, gap_seconds: f
         },
         before=2,
         partitions=partitions,
+        together=PLAY_KEY,
     )
     if gap_seconds is not None:
         prev_final = F.coalesce("__s1", F.when(prev_step <= gap_seconds, per_second(prev_distance, prev_step)).otherwise(0.0))
@@ -189,8 +190,8 @@ def aggregate_play_tracking(tracking: DataFrame, plays: DataFrame) -> DataFrame:
     """Offense, defense, QB, receiver and pressure measures per play, in one pass.
 
     Sums and teams meet on the struct key of ``play_teams``; the measures are grouped by it without
-    another shuffle.
+    another shuffle. Not by a broadcast: the sums are many times the size that Spark derives for them from the files.
     """
     partials = team_partials(tracking).withColumn("key", F.struct(*PLAY_KEY)).drop(*PLAY_KEY)
-    metrics = play_metrics(partials.join(play_teams(plays), "key"), ["key"])
+    metrics = play_metrics(partials.join(play_teams(plays).hint("merge"), "key"), ["key"])
     return metrics.select("key.*", *metrics.columns[1:])

@@ -57,28 +57,45 @@ def plays_from_events(events: DataFrame) -> DataFrame:
     return events.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
 
 
+def _structs(*rows: dict[str, str]) -> str:
+    """A constant array of structs: folded once, where an expression over the number would be evaluated per row."""
+    structs = [", ".join(f"{value} AS {name}" for name, value in row.items()) for row in rows]
+    return f"inline(array({', '.join(f'struct({s})' for s in structs)}))"
+
+
 def tracking_from_events(events: DataFrame) -> DataFrame:
-    frames = events.selectExpr(
-        "event_id AS e", "user_id", "ts", f"explode(sequence(0, {PLAYERS - 1})) AS k"
-    ).selectExpr("*", f"explode(sequence(0, {FRAMES - 1})) AS f")
+    """What all frames of a play or of a player share is derived before they are unfolded."""
+    positions = ["QB", "WR", "TE", "RB", "DE", "DT", "LB", "DB"]
+    players = [{"k": str(k), "position": f"'{name}'"} for k, name in enumerate(positions[:PLAYERS])]
+    frames = [
+        {"f": str(f), "later": f"make_dt_interval(0, 0, 0, {f} * 0.1)", "event": f"'{name}'"}
+        for f, name in enumerate(["snap", "pass", "pass_arrived"][:FRAMES])
+    ]
+    plays = events.selectExpr(
+        "event_id AS e", "ts", "concat('G', string(user_id)) AS game_id", "concat('P', string(event_id)) AS play_id",
+        f"{_team('event_id')} AS own", f"{_team('event_id + 1')} AS other",
+    )
+    unfolded = plays.selectExpr("*", _structs(*players)).selectExpr(
+        "*", "concat(play_id, '_', string(k)) AS player_id", "if(k < 4, own, other) AS team"
+    ).selectExpr("*", _structs(*frames))
     columns = {
-        "game_id": "concat('G', string(user_id))",
-        "play_id": "concat('P', string(e))",
-        "timestamp": "ts + make_dt_interval(0, 0, 0, f * 0.1)",
+        "game_id": "game_id",
+        "play_id": "play_id",
+        "timestamp": "ts + later",
         "frame_id": "f",
-        "player_id": "concat('P', string(e), '_', string(k))",
-        "team": _team("e + if(k < 4, 0, 1)"),
+        "player_id": "player_id",
+        "team": "team",
         "jersey_number": "int(1 + (e + k * 11) % 99)",
-        "position": _pick("k", "QB", "WR", "TE", "RB", "DE", "DT", "LB", "DB"),
+        "position": "position",
         "x_coord": "double((e * 17 + k * (e % 30) + f * ((e + k * 3) % 40)) % 540) / 10",
         "y_coord": "double((e * 19 + k * (e % 13) + f * 5) % 1201) / 10",
         "speed": "if((e + k + f) % 43 = 0, NULL, double((e * 7 + k * 31 + f * 3) % 258) / 10)",
         "acceleration": "double((e * 3 + k) % 80 - 40) / 10",
         "direction": "double((e * 23 + k * 45) % 361)",
         "orientation": "double((e * 29 + k * 30) % 361)",
-        "event": _pick("f", "snap", "pass", "pass_arrived"),
+        "event": "event",
     }
-    return frames.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
+    return unfolded.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
 
 
 def spread(df: DataFrame, table: DataFrame | None = None, rows: int | None = None) -> DataFrame:

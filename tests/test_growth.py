@@ -58,6 +58,36 @@ def test_large_tables_get_more_window_tasks(spark, monkeypatch, group_rows):
     assert spark_rows(cut) == spark_rows(plain(df, ["k"], ["t", "id"], COLUMNS))
 
 
+@pytest.mark.parametrize("group_rows", [10**6, 60])
+def test_groups_dealt_by_some_of_their_keys(spark, monkeypatch, group_rows):
+    """The same columns, whether the rows that come to one task are few or many."""
+    monkeypatch.setattr(ordered, "TASK_ROWS", 100)
+    df = skewed(spark).withColumn("m", F.pmod(F.hash("id"), F.lit(3)))
+    cut = ordered.over_parts(df, ["k", "m"], ["t", "id"], COLUMNS, before=20, after=2, group_rows=group_rows, together=["k"])
+    assert spark_rows(cut) == spark_rows(plain(df, ["k", "m"], ["t", "id"], COLUMNS))
+
+
+def test_frames_are_shuffled_once_for_silver(inputs):
+    """Motion and the sums per play share one shuffle, and neither sums nor teams are broadcast."""
+    sums = tracking.team_partials(inputs.bronze_tracking)._jdf.queryExecution().executedPlan().toString()
+    assert sums.count("Exchange hashpartitioning(game_id") == 1
+    measures = tracking.aggregate_play_tracking(inputs.bronze_tracking, inputs.plays)
+    assert "Broadcast" not in measures._jdf.queryExecution().executedPlan().toString()
+
+
+def test_frames_are_derived_from_what_their_play_shares(spark):
+    events = spark.sql("SELECT * FROM VALUES (7L, 3L, TIMESTAMP_NTZ'2024-01-01 00:00:00'), (8L, NULL, NULL) AS e(event_id, user_id, ts)")
+    frames = derived.tracking_from_events(events)
+    assert "make_dt_interval" not in plan(frames)
+    rows = {(r["play_id"], r["player_id"], r["frame_id"]): r for r in frames.collect()}
+    assert len(rows) == frames.count() == 48
+    last = rows["P7", "P7_4", 2]
+    assert (last["game_id"], last["team"], last["position"], last["event"], str(last["timestamp"])) == ("G3", "T3", "DE", "pass_arrived", "2024-01-01 00:00:00.200000")
+    assert rows["P7", "P7_3", 0]["team"] == "T7" and rows["P7", "P7_3", 0]["event"] == "snap"
+    bare = rows["P8", "P8_0", 1]
+    assert (bare["game_id"], bare["team"], bare["timestamp"]) == (None, None, None)
+
+
 def test_sizes_come_from_the_counted_plays(spark, inputs):
     """The teams are sized without running what leads to the silver rows."""
     broken = inputs.valid_plays.withColumn("defensive_pressure_rate", F.lit(0.5)).withColumn("play_id", F.raise_error(F.lit("was run")).cast("string"))
