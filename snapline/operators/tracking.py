@@ -34,9 +34,13 @@ def add_acceleration(df: DataFrame) -> DataFrame:
     return df.withColumn("calculated_acceleration", per_second(change, F.col("time_delta")))
 
 
-def derive_tracking(df: DataFrame, partitions: int | None = None, gap_seconds: float | None = None) -> DataFrame:
+def derive_tracking(
+    df: DataFrame, partitions: int | None = None, gap_seconds: float | None = None, *, counted: DataFrame | None = None
+) -> DataFrame:
     """Per-player motion from the previous frame; after more than ``gap_seconds`` (off by default) it starts afresh.
 
+    ``counted``: as many frames of each play as ``df`` has, to size the plays without running ``df``.
+
     ``prev_speed`` is the previous *final* speed, so a missing measured speed does not void the next
     acceleration. It needs the frame before the previous one, hence two rows of reach; both window steps
     share one shuffle and one sort. The frames of a play come to one task, so sums per play need no second shuffle.
@@ -63,6 +67,7 @@ def derive_tracking(df: DataFrame, partitions: int | None = None, gap_seconds: f
         },
         before=2,
         partitions=partitions,
+        counted=counted,
         together=PLAY_KEY,
     )
     if gap_seconds is not None:

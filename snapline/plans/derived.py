@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 PLAYERS = 8
 FRAMES = 3
+#: Events of one task that unfolds frames on average at most: the frames that it deals by play are sorted without a spill.
+TASK_EVENTS = 50_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,13 +69,11 @@ def tracking_from_events(events: DataFrame) -> DataFrame:
     """What all frames of a play or of a player share is derived before they are unfolded."""
     positions = ["QB", "WR", "TE", "RB", "DE", "DT", "LB", "DB"]
     players = [{"k": str(k), "position": f"'{name}'"} for k, name in enumerate(positions[:PLAYERS])]
-    frames = [
-        {"f": str(f), "later": f"make_dt_interval(0, 0, 0, {f} * 0.1)", "event": f"'{name}'"}
-        for f, name in enumerate(["snap", "pass", "pass_arrived"][:FRAMES])
-    ]
+    frames = [{"f": str(f), "event": f"'{name}'"} for f, name in enumerate(["snap", "pass", "pass_arrived"][:FRAMES])]
+    times = [f"ts + make_dt_interval(0, 0, 0, {f} * 0.1) AS ts{f}" for f in range(FRAMES)]
     plays = events.selectExpr(
-        "event_id AS e", "ts", "concat('G', string(user_id)) AS game_id", "concat('P', string(event_id)) AS play_id",
-        f"{_team('event_id')} AS own", f"{_team('event_id + 1')} AS other",
+        "event_id AS e", "concat('G', string(user_id)) AS game_id", "concat('P', string(event_id)) AS play_id",
+        f"{_team('event_id')} AS own", f"{_team('event_id + 1')} AS other", *times,
     )
     unfolded = plays.selectExpr("*", _structs(*players)).selectExpr(
         "*", "concat(play_id, '_', string(k)) AS player_id", "if(k < 4, own, other) AS team"
@@ -81,7 +81,7 @@ def tracking_from_events(events: DataFrame) -> DataFrame:
     columns = {
         "game_id": "game_id",
         "play_id": "play_id",
-        "timestamp": "ts + later",
+        "timestamp": f"CASE f {' '.join(f'WHEN {f} THEN ts{f}' for f in range(FRAMES))} END",
         "frame_id": "f",
         "player_id": "player_id",
         "team": "team",
@@ -116,7 +116,12 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tracking_from_events(spread(read_table(spark, sf_dir, "events")))
+    return tracking_from_events(spread(read_table(spark, sf_dir, "events"), rows=TASK_EVENTS))
+
+
+def counted_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same frames for counting, which stores nothing: the table is left as its files lie."""
+    return tracking_from_events(read_table(spark, sf_dir, "events"))
 
 
 def with_zone(df: DataFrame) -> DataFrame:

@@ -73,7 +73,8 @@ class Inputs:
 
     @property
     def motion(self) -> DataFrame:
-        return tracking.derive_tracking(quality.flag_tracking(self.tracking))
+        counted = derived.counted_tracking(self.spark, self.sf_dir)
+        return tracking.derive_tracking(quality.flag_tracking(self.tracking), counted=counted)
 
     @property
     def bronze_tracking(self) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from compare import spark_rows
+from snapline.functions.tracking import seconds_between
 from snapline.operators import features, ordered, quality, tracking
 from snapline.plans import derived
 from snapline.plans.queries import Inputs, rounded
@@ -88,6 +89,33 @@ def test_frames_are_derived_from_what_their_play_shares(spark):
     assert (bare["game_id"], bare["team"], bare["timestamp"]) == (None, None, None)
 
 
+def test_tasks_that_unfold_frames_follow_the_number_of_events(spark, inputs, monkeypatch):
+    rows = spark_rows(inputs.tracking)
+    monkeypatch.setattr(derived, "TASK_EVENTS", inputs.table("events").count() // 40)
+    assert inputs.tracking.rdd.getNumPartitions() >= 40
+    assert spark_rows(inputs.tracking) == rows
+
+
+def test_plays_are_sized_by_the_counted_frames(spark, inputs):
+    broken = inputs.tracking.withColumn("play_id", F.raise_error(F.lit("was run")).cast("string"))
+    tracking.derive_tracking(quality.flag_tracking(broken), counted=inputs.tracking)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_seconds_between_are_exact_without_a_cast_to_the_zone(spark, zone, kind):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        pairs = [("2024-01-01 00:00:00", "2024-01-01 00:00:00.1"), ("2024-11-02 23:00:00", "2024-11-03 04:00:00.000001"), ("9999-12-31 00:00:00", "0001-01-01 00:00:00"), (None, "2024-01-01 00:00:00")]
+        df = spark.createDataFrame(pairs, "a string, b string").select(F.col("a").cast(kind), F.col("b").cast(kind))
+        seconds = df.select(seconds_between(F.col("a"), F.col("b")).alias("s"))
+        assert "timestampdiff" not in plan(seconds)
+        assert [r["s"] for r in seconds.collect()] == [0.1, 18000.000001, -315537811200.0, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_sizes_come_from_the_counted_plays(spark, inputs):
     """The teams are sized without running what leads to the silver rows."""
     broken = inputs.valid_plays.withColumn("defensive_pressure_rate", F.lit(0.5)).withColumn("play_id", F.raise_error(F.lit("was run")).cast("string"))
